@@ -121,16 +121,20 @@ def change_envelope(spark: SparkSession, sf_dir: str, parts: str = ONE_BATCH) ->
     )
 
 
-def snapshot_files_frame(spark: SparkSession, sf_dir: str, ntz: bool = False) -> DataFrame:
-    """Part a as a snapshot file holds it: ordering columns as timestamps, not micros."""
+def snapshot_files_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part a as a snapshot file holds it: extraction times as timestamps, not micros.
+
+    ``current_ts`` is a TIMESTAMP and ``op_ts`` a TIMESTAMP_NTZ (both the order date); the columns
+    are in a different order than in change files.
+    """
     env = change_envelope(spark, sf_dir, "a")
-    kind = "timestamp_ntz" if ntz else "timestamp"
+    date = F.col("after").getField("C_TRANSACTION_DATE")
     return env.select(
-        "op_type",
-        F.timestamp_micros(F.col("op_ts")).cast(kind).alias("op_ts"),
-        F.timestamp_micros(F.col("current_ts")).cast(kind).alias("current_ts"),
-        "before",
         "after",
+        "before",
+        date.cast("timestamp").alias("current_ts"),
+        date.cast("timestamp_ntz").alias("op_ts"),
+        "op_type",
     )
 
 

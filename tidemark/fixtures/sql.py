@@ -158,3 +158,45 @@ def file_listing_cte(name: str = "FILES", per_table: bool = False) -> str:
         f"{name} AS (SELECT table_name, 'BACK.' || table_name || '/' || strftime(CAST(h AS DATE), '%Y-%m-%d') || '/' || {name_expr} AS path, "
         f"{name_expr} AS file_name, CAST(h AS DATE) AS day, mtime, CAST(length AS BIGINT) AS length FROM ({inner}))"
     )
+
+
+def batch_ctes(parts: str, suffix: str) -> list[str]:
+    """Envelope, flattened and normalised CTEs of one batch: E<s>, FL<s>, N<s>."""
+    return [
+        envelope_cte(parts, f"E{suffix}"),
+        flat_cte(f"E{suffix}", f"FL{suffix}"),
+        norm_cte(f"FL{suffix}", f"N{suffix}"),
+    ]
+
+
+def newer_or_equal(a: str, b: str) -> str:
+    """Lexicographic (current_ts, op_ts, op rank) comparison a >= b."""
+    ra = RANK.replace("op_type", f"{a}.op_type")
+    rb = RANK.replace("op_type", f"{b}.op_type")
+    return (
+        f"({a}.current_ts > {b}.current_ts OR ({a}.current_ts = {b}.current_ts AND "
+        f"({a}.op_ts > {b}.op_ts OR ({a}.op_ts = {b}.op_ts AND {ra} >= {rb}))))"
+    )
+
+
+def two_batch_merge(parts1: str, parts2: str, arrival: bool = False, out: str = CASH_OUT, extra1: str = "", extra2: str = "") -> str:
+    """Stored table after batch 1 (no tombstones), then batch 2 applied with the late policy."""
+    n1 = f"N1x AS (SELECT *{extra1} FROM N1)"
+    n2 = f"N2x AS (SELECT *{extra2} FROM N2)"
+    s1 = latest_cte("N1x", "L1") + ", S1 AS (SELECT * FROM L1 WHERE op_type <> 'D')"
+    l2 = latest_cte("N2x", "L2")
+    if arrival:
+        w = "W AS (SELECT * FROM L2)"
+    else:
+        w = (
+            "W AS (SELECT L2.* FROM L2 LEFT JOIN S1 ON L2.PK_CASH_TRANSACTION = S1.PK_CASH_TRANSACTION "
+            f"WHERE S1.PK_CASH_TRANSACTION IS NULL OR {newer_or_equal('L2', 'S1')})"
+        )
+    r = (
+        "R AS (SELECT * FROM S1 WHERE PK_CASH_TRANSACTION NOT IN (SELECT PK_CASH_TRANSACTION FROM W) "
+        "UNION ALL BY NAME SELECT * FROM W WHERE op_type <> 'D')"
+    )
+    return (
+        with_ctes(IMG_CTE, *batch_ctes(parts1, "1"), *batch_ctes(parts2, "2"), n1, n2, s1, l2, w, r)
+        + f"SELECT {out} FROM R"
+    )
