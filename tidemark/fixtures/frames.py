@@ -121,19 +121,23 @@ def change_envelope(spark: SparkSession, sf_dir: str, parts: str = ONE_BATCH) ->
     )
 
 
-def snapshot_files_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part a as a snapshot file holds it: extraction times as timestamps, not micros.
+def snapshot_files_frame(spark: SparkSession, sf_dir: str, envelope_times: bool = False) -> DataFrame:
+    """Part a as a snapshot file holds it: ordering columns as timestamps, not micros.
 
-    ``current_ts`` is a TIMESTAMP and ``op_ts`` a TIMESTAMP_NTZ (both the order date); the columns
-    are in a different order than in change files.
+    ``current_ts`` is a TIMESTAMP and ``op_ts`` a TIMESTAMP_NTZ, in a different column order than in
+    change files. By default both hold the order date (an extraction time the floor must replace);
+    with ``envelope_times`` they hold the envelope's own values, so reading them back gives part a.
     """
     env = change_envelope(spark, sf_dir, "a")
-    date = F.col("after").getField("C_TRANSACTION_DATE")
+    if envelope_times:
+        cur, op = F.timestamp_micros(F.col("current_ts")), F.timestamp_micros(F.col("op_ts"))
+    else:
+        cur = op = F.col("after").getField("C_TRANSACTION_DATE")
     return env.select(
         "after",
         "before",
-        date.cast("timestamp").alias("current_ts"),
-        date.cast("timestamp_ntz").alias("op_ts"),
+        cur.cast("timestamp").alias("current_ts"),
+        op.cast("timestamp_ntz").alias("op_ts"),
         "op_type",
     )
 

@@ -569,3 +569,125 @@ def pass_through_types(spark, sf_dir):
         F.col("VEC")[0].cast("double").alias("first_dim"),
         F.element_at("VEC", -1).cast("double").alias("last_dim"),
     )
+
+
+# ---------------------------------------------------------------- runs, sinks, streaming
+
+from tidemark.fixtures import files as FF  # noqa: E402
+from tidemark.session import scratch_path  # noqa: E402
+
+
+def _pipeline_runs(spark, sf_dir):
+    from tidemark.plans.pipeline import Source, run_table
+
+    apply_engine_conf(spark)
+    root = scratch_path(spark, "cash-landing")
+    target = scratch_path(spark, "cash-table")
+    mid = FF.land_two_batches(spark, sf_dir, root)
+    src = Source(root=root, batch_size=1000)
+    r1 = run_table(spark, CASH_TRANSACTIONS, src, target, None, mid, full_refresh=True)
+    r2 = run_table(spark, CASH_TRANSACTIONS, src, target, mid, None)
+    return target, [r1, r2]
+
+
+@query("cash_transactions", S.two_batch_merge(FX.BATCH_ONE, FX.BATCH_TWO))
+def cash_transactions(spark, sf_dir):
+    from tidemark.sources.readers import read_table
+
+    target, _ = _pipeline_runs(spark, sf_dir)
+    return comparable(read_table(spark, target).select(*CASH_COLS))
+
+
+def _metrics_sql(parts: str, suffix: str, run_no: int) -> str:
+    return (
+        f"SELECT 'cash_transactions' AS table_name, CAST({run_no} AS BIGINT) AS run_no, count(*) AS rows_in, "
+        "count(*) FILTER (WHERE op_type = 'I') AS inserts, count(*) FILTER (WHERE op_type = 'U') AS updates, "
+        "count(*) FILTER (WHERE op_type = 'D') AS deletes, count(*) FILTER (WHERE op_type = 'R') AS snapshots, "
+        f"count(*) - (SELECT count(*) FROM N{suffix}) AS rejected, true AS ok FROM E{suffix}"
+    )
+
+
+@query(
+    "run_metrics",
+    S.with_ctes(S.IMG_CTE, *S.batch_ctes(FX.BATCH_ONE, "1"), *S.batch_ctes(FX.BATCH_TWO, "2"))
+    + _metrics_sql(FX.BATCH_ONE, "1", 1) + " UNION ALL " + _metrics_sql(FX.BATCH_TWO, "2", 2),
+)
+def run_metrics(spark, sf_dir):
+    from tidemark.plans.pipeline import results_frame
+
+    _, results = _pipeline_runs(spark, sf_dir)
+    df = results_frame(spark, results)
+    n = F.when(F.col("run_id") == results[0].run_id, F.lit(1)).otherwise(F.lit(2)).cast("bigint")
+    return df.select("table_name", n.alias("run_no"), "rows_in", "inserts", "updates", "deletes", "snapshots", "rejected", "ok")
+
+
+def _stored_cash(spark, sf_dir):
+    from tidemark.sinks.tables import merge_into
+    from tidemark.sources.readers import read_table
+
+    target = scratch_path(spark, "cash-merged")
+    merge_into(spark, _changes(spark, sf_dir), CASH_TRANSACTIONS, target)
+    return target, read_table(spark, target)
+
+
+LATEST_LIVE = S.cash_ctes() + ", " + S.latest_cte() + ", LIVE AS (SELECT * FROM L WHERE op_type <> 'D') "
+
+
+@query(
+    "partitioned_roundtrip",
+    LATEST_LIVE + "SELECT CAST(C_TRANSACTION_DATE_PARTITION AS VARCHAR) AS C_TRANSACTION_DATE_PARTITION, count(*) AS n_rows "
+    "FROM LIVE GROUP BY 1",
+)
+def partitioned_roundtrip(spark, sf_dir):
+    _, df = _stored_cash(spark, sf_dir)
+    part = CASH_TRANSACTIONS.partition
+    return df.groupBy(F.col(part).cast("string").alias(part)).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("layout_sorted", LATEST_LIVE + "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_order FROM LIVE")
+def layout_sorted(spark, sf_dir):
+    from pyspark.sql import Window
+
+    _, df = _stored_cash(spark, sf_dir)
+    meta = df.select(
+        "C_ACCOUNT_CODE",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("row_index"),
+    )
+    w = Window.partitionBy("file").orderBy("row_index")  # one group per file: bounded by file size
+    prev = F.lag("C_ACCOUNT_CODE").over(w)
+    flagged = meta.select((prev.isNotNull() & (prev > F.col("C_ACCOUNT_CODE"))).cast("bigint").alias("bad"))
+    return flagged.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("bad"), F.lit(0)).cast("bigint").alias("n_out_of_order"))
+
+
+@query(
+    "registered_table",
+    LATEST_LIVE + "SELECT C_STATUS, count(*) AS n_rows, CAST(round(sum(C_AMOUNT)) AS BIGINT) AS amount FROM LIVE GROUP BY C_STATUS",
+)
+def registered_table(spark, sf_dir):
+    import uuid
+
+    from tidemark.sinks.tables import register_table
+
+    target, _ = _stored_cash(spark, sf_dir)
+    name = f"tidemark_cash_{uuid.uuid4().hex[:8]}"
+    register_table(spark, name, target, CASH_TRANSACTIONS)
+    return spark.sql(
+        f"SELECT C_STATUS, count(*) AS n_rows, CAST(round(sum(C_AMOUNT)) AS BIGINT) AS amount FROM {name} GROUP BY C_STATUS"
+    )
+
+
+@query("stream_merge", S.two_batch_merge(FX.BATCH_ONE, FX.BATCH_TWO))
+def stream_merge(spark, sf_dir):
+    from tidemark.sources.readers import read_table
+    from tidemark.streaming import change_stream, stream_table
+
+    apply_engine_conf(spark)
+    root = scratch_path(spark, "cash-stream-landing")
+    target = scratch_path(spark, "cash-stream-table")
+    FF.land_two_batches(spark, sf_dir, root, snapshot_file=False)
+    schema = spark.read.parquet(f"{root}/*/BACK.0001").schema
+    stream = change_stream(spark, f"{root}/*/BACK.*", schema, max_files_per_trigger=1)
+    q = stream_table(spark, CASH_TRANSACTIONS, stream, target, scratch_path(spark, "cash-stream-ckpt"))
+    q.awaitTermination()
+    return comparable(read_table(spark, target).select(*CASH_COLS))

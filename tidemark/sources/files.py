@@ -72,11 +72,16 @@ def list_files(
 
 
 def classify(files: DataFrame, snapshot_prefix: str = SNAPSHOT_PREFIX, change_prefix: str = CHANGE_PREFIX) -> DataFrame:
-    """Add ``kind``: snapshot / change by base-name prefix; files with any other name are dropped."""
+    """Add ``kind``: snapshot / change by base-name prefix (or the prefix of the data-set folder that
+    holds a part file); files with any other name are dropped."""
     name = F.col("file_name")
+    # A data set written by Spark is a folder of part files: the folder carries the name.
+    folder = F.regexp_extract(F.col("path"), r"([^/]+)/[^/]+$", 1)
     kind = (
         F.when(name.startswith(snapshot_prefix), F.lit(SNAPSHOT))
         .when(name.startswith(change_prefix), F.lit(CHANGE))
+        .when(folder.startswith(snapshot_prefix), F.lit(SNAPSHOT))
+        .when(folder.startswith(change_prefix), F.lit(CHANGE))
     )
     return files.withColumn("kind", kind).filter(F.col("kind").isNotNull())
 
