@@ -15,7 +15,7 @@ from __future__ import annotations
 import time
 import uuid
 from dataclasses import asdict, dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import Iterable, Mapping, Optional
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,6 +36,10 @@ RUN_STATE_SCHEMA = "run_id string, common_last timestamp, updated_at timestamp"
 FAILED_SCHEMA = "table_name string, failed_from timestamp, run_id string"
 
 
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 @dataclass
 class RunResult:
     run_id: str
@@ -85,7 +89,7 @@ def run_table(
 ) -> RunResult:
     """Process the files of one table that arrived in ``[from_time, to_time]`` (both included)."""
     run_id = run_id or uuid.uuid4().hex
-    res = RunResult(run_id, spec.name, datetime.utcnow())
+    res = RunResult(run_id, spec.name, _now())
     t0 = time.time()
     files = FS.select_window(
         FS.list_files(spark, source.root, from_time, to_time, source.slack_days), from_time, to_time, source.slack_days
@@ -144,7 +148,7 @@ def save_state(
     results: Iterable[RunResult],
 ) -> None:
     root = state_root.rstrip("/")
-    now = datetime.utcnow()
+    now = _now()
     spark.createDataFrame([(run_id, common_last, now)], RUN_STATE_SCHEMA).write.mode("append").parquet(f"{root}/run_state")
     rows = [(t, f, run_id) for t, f in failed.items()] or [(None, None, run_id)]
     spark.createDataFrame(rows, FAILED_SCHEMA).write.mode("append").parquet(f"{root}/failed_tables")
@@ -157,6 +161,13 @@ def results_frame(spark: SparkSession, results: Iterable[RunResult]) -> DataFram
     return spark.createDataFrame([tuple(asdict(r).values()) for r in results], METRICS_SCHEMA)
 
 
+def _naive_utc(t: Optional[datetime]) -> Optional[datetime]:
+    """Aware times -> naive UTC (how collected timestamps come back with a UTC session)."""
+    if t is None or t.tzinfo is None:
+        return t
+    return t.astimezone(timezone.utc).replace(tzinfo=None)
+
+
 def run_tables(
     spark: SparkSession,
     specs: Iterable[TableSpec],
@@ -172,7 +183,7 @@ def run_tables(
     run. Without a common time the run starts from the beginning and rewrites the tables.
     """
     run_id = run_id or uuid.uuid4().hex
-    to_time = to_time or datetime.utcnow()
+    to_time = _naive_utc(to_time) or _now()
     common, failed = load_state(spark, state_root)
     if common is not None and to_time < common:
         raise ValueError(f"end time {to_time} is before the last common time {common}")
@@ -182,7 +193,7 @@ def run_tables(
         try:
             res = run_table(spark, spec, sources[spec.name], targets[spec.name], start, to_time, start is None, run_id)
         except Exception as e:  # noqa: BLE001 - isolation: report and go on with the next table
-            res = RunResult(run_id, spec.name, datetime.utcnow(), ok=False, error=f"{type(e).__name__}: {e}"[:2000])
+            res = RunResult(run_id, spec.name, _now(), ok=False, error=f"{type(e).__name__}: {e}"[:2000])
         if not res.ok:
             still_failed[spec.name] = start
         results.append(res)
@@ -203,6 +214,7 @@ def force_tables(
     """Resync named tables from ``from_time`` (append) or from the beginning (rewrite) up to the
     common time. Success clears a table's failure entry; the common time does not change."""
     run_id = run_id or uuid.uuid4().hex
+    from_time = _naive_utc(from_time)
     common, failed = load_state(spark, state_root)
     chosen = resolve_tables(names, dict(specs))
     results = []
@@ -210,7 +222,7 @@ def force_tables(
         try:
             res = run_table(spark, spec, sources[spec.name], targets[spec.name], from_time, common, from_time is None, run_id)
         except Exception as e:  # noqa: BLE001
-            res = RunResult(run_id, spec.name, datetime.utcnow(), ok=False, error=f"{type(e).__name__}: {e}"[:2000])
+            res = RunResult(run_id, spec.name, _now(), ok=False, error=f"{type(e).__name__}: {e}"[:2000])
         if res.ok:
             failed.pop(spec.name, None)
         results.append(res)

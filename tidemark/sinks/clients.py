@@ -1,0 +1,30 @@
+"""Clients for ``export_partitions``.
+
+``JsonLinesClient`` writes one JSON-lines file per Spark partition (task attempt) into a shared
+folder; it is the stand-in for a database client in tests and dry runs.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import uuid
+
+
+class JsonLinesClient:
+    def __init__(self, folder: str):
+        os.makedirs(folder, exist_ok=True)
+        self.path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}.jsonl"
+        self.fh = open(self.path, "w")
+        self.commits = 0
+
+    def insert(self, rows) -> None:
+        for r in rows:
+            self.fh.write(json.dumps(list(r), default=str) + "\n")
+
+    def commit(self) -> None:
+        self.commits += 1
+        self.fh.flush()
+
+    def close(self) -> None:
+        self.fh.close()
