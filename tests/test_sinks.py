@@ -59,3 +59,37 @@ def test_export_partitions_batches(spark, tmp_dir):
     export_partitions(df, lambda: JsonLinesClient(tmp_dir), batch_rows=5000)
     lines = [line for f in glob.glob(f"{tmp_dir}/*.jsonl") for line in open(f)]
     assert len(lines) == 12001 and len(glob.glob(f"{tmp_dir}/*.jsonl")) == 3
+
+
+def test_locate_by_images_matches_key_scan(spark, tmp_dir):
+    from dataclasses import replace
+
+    from tidemark.operators.changes import prepare_changes
+
+    env = "op_type string, op_ts bigint, current_ts bigint, before struct<k:bigint,ts:timestamp>, after struct<k:bigint,ts:timestamp>"
+    d = [datetime(2024, 1, i, 1) for i in range(1, 5)]
+    b1 = spark.createDataFrame([("I", 1, 1, None, (1, d[0])), ("I", 1, 1, None, (2, d[1]))], env)
+    # key 1 moves day1 -> day2 -> day3 inside one batch; key 2 is deleted
+    b2 = spark.createDataFrame(
+        [("U", 2, 2, (1, d[0]), (1, d[1])), ("U", 3, 3, (1, d[1]), (1, d[2])), ("D", 4, 4, (2, d[1]), None)], env
+    )
+    spec = TableSpec(name="m", keys=("k",), partition="day", partition_source="ts", shift_hours=0)
+    fast = replace(spec, locate_by_images=True)
+    out = {}
+    for name, sp in (("scan", spec), ("images", fast)):
+        path = f"{tmp_dir}/{name}"
+        merge_into(spark, prepare_changes(b1, sp), sp, path)
+        merge_into(spark, prepare_changes(b2, sp), sp, path)
+        df = read_table(spark, path)
+        assert "_prev_partition" not in df.columns
+        out[name] = sorted((r.k, str(r.day)) for r in df.collect())
+    assert out["scan"] == out["images"] == [(1, "2024-01-03")]
+
+
+def test_null_partition_rows_survive_unrelated_batches(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    d = datetime(2024, 1, 1, 10)
+    merge_into(spark, _batch(spark, [(1, "a", None, "I", 1, 1), (2, "b", d, "I", 1, 1)]), SPEC, path)
+    merge_into(spark, _batch(spark, [(3, "c", None, "I", 2, 2)]), SPEC, path)
+    merge_into(spark, _batch(spark, [(2, "b2", d, "U", 3, 3)]), SPEC, path)
+    assert sorted((x.k, x.v) for x in read_table(spark, path).collect()) == [(1, "a"), (2, "b2"), (3, "c")]

@@ -24,6 +24,7 @@ from typing import Callable, Iterable, Optional
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.changes import PREV_PARTITION
 from tidemark.operators.merge import apply_changes, latest_per_key, merge_latest
 from tidemark.session import checkpoint_root
 from tidemark.sources.readers import table_if_exists
@@ -119,6 +120,13 @@ def merge_into(
     clean = changes.filter(F.col("op_type").isNotNull())
     for k in keys:
         clean = clean.filter(F.col(f"`{k}`").isNotNull())
+    by_images = spec.partition is not None and PREV_PARTITION in clean.columns
+    if by_images:
+        # Every partition a batch row came from or goes to; one small distinct frame.
+        moved_from = clean.filter(F.col("op_type").isin("U", "D")).select(F.col(PREV_PARTITION))
+        imaged = clean.select(F.col(spec.partition)).union(moved_from).distinct()
+        imaged = imaged.checkpoint(eager=True)
+        clean = clean.drop(PREV_PARTITION)
     latest = latest_per_key(clean, keys, spec.ordering, deletes_win=spec.merge_mode == UPSERT_THEN_DELETE).checkpoint(eager=True)
     n_keys = latest.count()
     small = n_keys <= broadcast_rows
@@ -133,12 +141,20 @@ def merge_into(
     touched = None
     if spec.partition:
         part = spec.partition
-        key_side = F.broadcast(latest.select(*keys)) if small else latest.select(*keys)
-        holding = current.select(*keys, part).join(key_side, keys, "left_semi").select(part)
-        touched = latest.select(part).union(holding).distinct().checkpoint(eager=True)
+        if by_images:
+            touched = imaged
+        else:
+            # Partitions that hold a batch key today: a two-column scan of the stored keys.
+            key_side = F.broadcast(latest.select(*keys)) if small else latest.select(*keys)
+            holding = current.select(*keys, part).join(key_side, keys, "left_semi").select(part)
+            touched = latest.select(part).union(holding).distinct().checkpoint(eager=True)
         n_touched = touched.count()
-        side = F.broadcast(touched) if n_touched <= BROADCAST_PARTITIONS else touched
+        valued = touched.filter(F.col(part).isNotNull())
+        side = F.broadcast(valued) if n_touched <= BROADCAST_PARTITIONS else valued
         scope = current.join(side, part, "left_semi")
+        if not touched.filter(F.col(part).isNull()).isEmpty():
+            # a semi join never matches null: rows of the null partition join the scope explicitly
+            scope = scope.unionByName(current.filter(F.col(part).isNull()))
     else:
         n_touched = None
         scope = current
@@ -148,7 +164,8 @@ def merge_into(
     rows = merged.count()
     if spec.partition:
         write_table(merged, spec, path, mode="overwrite", dynamic=True)
-        emptied = touched.join(merged.select(spec.partition).distinct(), spec.partition, "left_anti")
+        present = merged.select(F.col(spec.partition).alias("_present")).distinct()
+        emptied = touched.join(present, touched[spec.partition].eqNullSafe(present["_present"]), "left_anti")
         # Bounded by the touched-partition count (measured above).
         gone = [r[0] for r in emptied.collect()]
         if gone:

@@ -83,12 +83,21 @@ def _not_found(e: Exception) -> bool:
     return "PATH_NOT_FOUND" in s or "Path does not exist" in s or "TABLE_OR_VIEW_NOT_FOUND" in s
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of the path (works for any store Spark reads)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def table_if_exists(spark: SparkSession, location: str, fmt: str = "parquet") -> Optional[DataFrame]:
     """The stored table, or None when it does not exist or has no rows.
 
     Only "not found" means "does not exist"; any other read error is raised, so a broken read can
     never be mistaken for an empty target (which would trigger a rebuild).
     """
+    if ("/" in location or ":" in location) and not path_exists(spark, location):
+        return None
     try:
         df = read_table(spark, location, fmt)
     except AnalysisException as e:

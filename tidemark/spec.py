@@ -66,6 +66,9 @@ class TableSpec:
     keep_tombstones: bool = False
     partial_after: bool = False
     lookup_key: Optional[str] = None  # e.g. customer code checked against a map table
+    # Find the partitions a batch touches from the before-images of its rows instead of scanning the
+    # stored keys. Exact only when every change to an existing key carries a full before-image.
+    locate_by_images: bool = False
     format: str = "parquet"
     post: Optional[Callable[[DataFrame], DataFrame]] = None
     writer_options: dict = field(default_factory=dict)
