@@ -38,3 +38,18 @@ def test_small_batch_is_broadcast_and_stored_side_not_shuffled(spark):
     p = plan(merged)
     assert "BroadcastHashJoin" in p
     assert "SortMergeJoin" not in p
+
+
+def test_touched_scope_prunes_partitions_statically(spark, tmp_dir):
+    from tidemark.sinks.tables import touched_scope
+
+    path = f"{tmp_dir}/t"
+    spark.range(0, 2000).select(
+        F.col("id").alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("day")
+    ).write.partitionBy("day").parquet(path)
+    current = spark.read.parquet(path)
+    touched = spark.createDataFrame([("2024-01-05",), ("2024-02-01",)], "d string").select(F.col("d").cast("date").alias("day"))
+    scope = touched_scope(current, "day", touched, 2)
+    p = scope._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in p and " IN (" in p.split("PartitionFilters: [")[1].split("]")[0]
+    assert scope.count() == 80

@@ -6,7 +6,8 @@ Merge into a stored parquet table (copy-on-write, per touched partition):
    is computed once and its row count is a measured bound;
 2. touched partitions = partitions of the batch rows, plus partitions that hold a batch key today
    (a key may move between partitions); one small frame, bounded by the table's partition count;
-3. only touched partitions of the stored table are read (partition pruning by semi join);
+3. only touched partitions of the stored table are read (static partition pruning on the measured
+   list of touched values);
 4. the merged rows are checkpointed before anything is overwritten: the overwrite never reads
    the files it replaces;
 5. touched partitions are replaced with dynamic partition overwrite; a touched partition that
@@ -33,7 +34,9 @@ from tidemark.spec import EXPORT_BATCH_ROWS, UPSERT_THEN_DELETE, TableSpec
 # A batch with at most this many keys is broadcast into the merge joins (measured after the
 # checkpoint, so the bound is proven, not estimated). Above it the joins shuffle on the key.
 BROADCAST_BATCH_ROWS = 2_000_000
-# Touched-partition lists up to this size are broadcast for partition pruning.
+# Up to this many touched partitions the stored table is read through a literal partition filter
+# (static pruning: untouched folders are never listed or read); above it a semi join selects them.
+PRUNE_LITERALS = 20_000
 BROADCAST_PARTITIONS = 100_000
 
 
@@ -106,6 +109,25 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterabl
         fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={_partition_dir(v)}"), True)
 
 
+def touched_scope(current: DataFrame, part: str, touched: DataFrame, n_touched: int) -> DataFrame:
+    """Stored rows of the touched partitions only.
+
+    Up to ``PRUNE_LITERALS`` partitions the values (a measured, bounded list) become a literal
+    partition filter, so untouched folders are never read. A null partition value joins the scope
+    explicitly, because neither ``IN`` nor an equi join matches null.
+    """
+    valued = touched.filter(F.col(part).isNotNull())
+    if n_touched <= PRUNE_LITERALS:
+        values = [r[0] for r in valued.collect()]
+        scope = current.filter(F.col(part).isin(values))
+    else:
+        side = F.broadcast(valued) if n_touched <= BROADCAST_PARTITIONS else valued
+        scope = current.join(side, part, "left_semi")
+    if not touched.filter(F.col(part).isNull()).isEmpty():
+        scope = scope.unionByName(current.filter(F.col(part).isNull()))
+    return scope
+
+
 def merge_into(
     spark: SparkSession,
     changes: DataFrame,
@@ -149,12 +171,7 @@ def merge_into(
             holding = current.select(*keys, part).join(key_side, keys, "left_semi").select(part)
             touched = latest.select(part).union(holding).distinct().checkpoint(eager=True)
         n_touched = touched.count()
-        valued = touched.filter(F.col(part).isNotNull())
-        side = F.broadcast(valued) if n_touched <= BROADCAST_PARTITIONS else valued
-        scope = current.join(side, part, "left_semi")
-        if not touched.filter(F.col(part).isNull()).isEmpty():
-            # a semi join never matches null: rows of the null partition join the scope explicitly
-            scope = scope.unionByName(current.filter(F.col(part).isNull()))
+        scope = touched_scope(current, part, touched, n_touched)
     else:
         n_touched = None
         scope = current
