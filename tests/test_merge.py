@@ -86,3 +86,19 @@ def test_schema_reconcile_in_merge(spark):
     out = {r.k: r for r in apply_changes(stored, b2, ["k"]).collect()}
     assert out[1].extra == "keep" and out[1].channel is None
     assert out[2].extra is None and out[2].channel == "web"
+
+
+def test_split_key_change_deletes_old_key(spark):
+    from dataclasses import replace
+
+    from tidemark.operators.changes import prepare_changes
+    from tidemark.spec import TableSpec
+
+    env = "op_type string, op_ts bigint, current_ts bigint, before struct<k:bigint,v:string>, after struct<k:bigint,v:string>"
+    rows = [("I", 1, 1, None, (1, "a")), ("U", 2, 2, (1, "a"), (2, "a")), ("U", 3, 3, (2, "a"), (2, "b"))]
+    df = spark.createDataFrame(rows, env)
+    spec = TableSpec(name="x", keys=("k",), shift_hours=0)
+    kept = table(apply_changes(None, prepare_changes(df, spec), ["k"]))
+    assert kept == [(1, "a"), (2, "b")]  # the old key stays, as the images say nothing else
+    split = table(apply_changes(None, prepare_changes(df, replace(spec, split_key_change=True)), ["k"]))
+    assert split == [(2, "b")]

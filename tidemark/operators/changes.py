@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.envelope import flatten, floor_snapshot, image_fields, split_ops
+from tidemark.operators.envelope import flatten, floor_snapshot, image_fields, split_key_changes, split_ops
 from tidemark.operators.normalize import clamp_times, require, shift_times, with_day
 from tidemark.spec import TableSpec
 
@@ -35,6 +35,8 @@ def _with_prev_source(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def prepare_changes(envelope: DataFrame, spec: TableSpec) -> DataFrame:
     df = split_ops(envelope)
+    if spec.split_key_change:
+        df = split_key_changes(df, spec.keys)
     images = spec.locate_by_images and spec.partition and spec.partition_source
     if images:
         df = _with_prev_source(df, spec)

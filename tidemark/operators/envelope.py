@@ -125,3 +125,31 @@ def align_union(dfs: Iterable[DataFrame], strict: bool = True) -> DataFrame:
     if not frames:
         raise ValueError("align_union needs at least one frame")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=not strict), frames)
+
+
+def split_key_changes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """An update whose ``before`` key differs from its ``after`` key also deletes the old key.
+
+    Narrow: each such row becomes two rows (a ``D`` carrying the before image, then the update)
+    through ``explode``; no shuffle.
+    """
+    before, after = image_fields(df.schema, "before"), image_fields(df.schema, "after")
+    if not before or not all(k in before and k in after for k in keys):
+        return df
+    changed = F.lit(False)
+    for k in keys:
+        changed = changed | ~F.col("before").getField(k).eqNullSafe(F.col("after").getField(k))
+    cond = (F.col("op_type") == OP_UPDATE) & F.col("before").isNotNull() & changed
+    cols = df.columns
+    original = F.struct(*[F.col(f"`{c}`") for c in cols])
+    extra = F.struct(
+        *[
+            F.lit(OP_DELETE).alias(c) if c == "op_type"
+            else F.lit(None).cast(df.schema["after"].dataType).alias(c) if c == "after"
+            else F.col(f"`{c}`")
+            for c in cols
+        ]
+    )
+    return df.select(F.explode(F.array(original, F.when(cond, extra))).alias("_e")).filter(
+        F.col("_e").isNotNull()
+    ).select("_e.*")

@@ -65,6 +65,7 @@ class TableSpec:
     late_policy: str = EVENT_TIME
     keep_tombstones: bool = False
     partial_after: bool = False
+    split_key_change: bool = False  # an update that changes the key deletes the old key
     lookup_key: Optional[str] = None  # e.g. customer code checked against a map table
     # Find the partitions a batch touches from the before-images of its rows instead of scanning the
     # stored keys. Exact only when every change to an existing key carries a full before-image.
