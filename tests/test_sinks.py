@@ -93,3 +93,13 @@ def test_null_partition_rows_survive_unrelated_batches(spark, tmp_dir):
     merge_into(spark, _batch(spark, [(3, "c", None, "I", 2, 2)]), SPEC, path)
     merge_into(spark, _batch(spark, [(2, "b2", d, "U", 3, 3)]), SPEC, path)
     assert sorted((x.k, x.v) for x in read_table(spark, path).collect()) == [(1, "a"), (2, "b2"), (3, "c")]
+
+
+def test_empty_batch_writes_nothing(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    d = datetime(2024, 1, 1)
+    merge_into(spark, _batch(spark, [(1, "a", d, "I", 1, 1)]), SPEC, path)
+    before = sorted(glob.glob(f"{path}/**/*.parquet", recursive=True))
+    r = merge_into(spark, _batch(spark, [(None, "x", d, "I", 2, 2)]), SPEC, path)
+    assert r.batch_keys == 0 and r.rows_written == 0
+    assert sorted(glob.glob(f"{path}/**/*.parquet", recursive=True)) == before

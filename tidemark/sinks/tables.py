@@ -153,6 +153,9 @@ def merge_into(
     n_keys = latest.count()
     small = n_keys <= broadcast_rows
 
+    if n_keys == 0 and not full_refresh:
+        # Nothing to apply: no write, the stored table stays as it is.
+        return MergeResult(spec.name, 0, 0, 0, False)
     current = None if full_refresh else table_if_exists(spark, path, spec.format)
     if current is None:
         merged = merge_latest(None, latest, keys, spec.ordering, spec.late_policy, spec.keep_tombstones)
