@@ -102,3 +102,12 @@ def test_split_key_change_deletes_old_key(spark):
     assert kept == [(1, "a"), (2, "b")]  # the old key stays, as the images say nothing else
     split = table(apply_changes(None, prepare_changes(df, replace(spec, split_key_change=True)), ["k"]))
     assert split == [(2, "b")]
+
+
+def test_exact_ties_pick_the_same_row_every_time(spark):
+    rows = [(1, f"v{i}", "U", 5, 5) for i in range(30)]
+    picks = set()
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame(rows, S).repartition(parts)
+        picks.add(tuple(table(latest_per_key(df, ["k"]))))
+    assert len(picks) == 1

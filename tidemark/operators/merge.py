@@ -25,6 +25,7 @@ from pyspark.sql.types import (
     FloatType,
     IntegerType,
     LongType,
+    MapType,
     ShortType,
     TimestampNTZType,
     TimestampType,
@@ -47,11 +48,22 @@ def op_rank(op: Column | None = None) -> Column:
     return e
 
 
-def ordering_struct(ordering: Sequence[str], prefix: Sequence[Column] = (), tiebreak: Sequence[str] = ()) -> Column:
-    parts = list(prefix) + [F.col(f"`{c}`") for c in ordering] + [op_rank()] + [F.col(f"`{c}`") for c in tiebreak]
+def ordering_struct(
+    ordering: Sequence[str], prefix: Sequence[Column] = (), tiebreak: Sequence[str] = (), last: Sequence[Column] = ()
+) -> Column:
+    parts = (
+        list(prefix) + [F.col(f"`{c}`") for c in ordering] + [op_rank()] + [F.col(f"`{c}`") for c in tiebreak] + list(last)
+    )
     return F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)])
 
 
+def _row_hash(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """A hash of the row's values: the last tie-break, so that equal ordering values still pick the
+    same row on every recomputation (a retried task must not choose differently)."""
+    hashable = [c for c in cols if not isinstance(df.schema[c].dataType, MapType)]
+    return [F.xxhash64(*[F.col(f"`{c}`") for c in hashable])] if hashable else []
+
+
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -68,7 +80,7 @@ def latest_per_key(
     ordering = [c for c in ordering if c in df.columns]
     payload = [c for c in df.columns if c not in keys]
     prefix = [(F.col("op_type") == OP_DELETE).cast("int")] if deletes_win else []
-    order = ordering_struct(ordering, prefix, [t for t in tiebreak if t in df.columns])
+    order = ordering_struct(ordering, prefix, [t for t in tiebreak if t in df.columns], _row_hash(df, payload))
     cols = df.columns
     out = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
         F.max_by(F.struct(*[F.col(f"`{c}`") for c in payload]), order).alias("_row")
