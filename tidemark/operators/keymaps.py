@@ -124,5 +124,7 @@ def map_clashes(mapped: DataFrame, map_col: str, key: str) -> DataFrame:
 def register_unknown(batch: DataFrame, lookup: DataFrame, key: str, salt: str, map_col: Optional[str] = None) -> DataFrame:
     """Distinct unknown keys of a batch with their new surrogate, ready for the lookup's sink."""
     map_col = map_col or f"{key}_MAP"
-    unknown = unknown_keys(batch.select(key), lookup, key).distinct()
-    return unknown.select(key, surrogate(key, salt).alias(map_col))
+    # Distinct first: the aggregate combines on the map side, so a code that holds a third of the
+    # batch reaches the anti join as one row.
+    distinct = batch.select(key).distinct()
+    return unknown_keys(distinct, lookup, key).select(key, surrogate(key, salt).alias(map_col))
