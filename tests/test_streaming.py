@@ -27,3 +27,24 @@ def test_stream_equals_batch_merge(spark, tmp_dir):
     # a restarted query with the same checkpoint finds nothing new and leaves the table as it is
     again = _run_stream(spark, root, f"{tmp_dir}/t1", f"{tmp_dir}/c1", 1)
     assert again == one
+
+
+def test_any_trigger_size_gives_same_table_with_tombstones(spark, tmp_dir):
+    from dataclasses import replace
+
+    spec = replace(CASH_TRANSACTIONS, keep_tombstones=True)
+    root = f"{tmp_dir}/landing"
+    FF.land_two_batches(spark, SF001, root, snapshot_file=False)
+    schema = spark.read.parquet(f"{root}/*/BACK.0001").schema
+    out = []
+    for n in (1, 3):
+        stream = change_stream(spark, f"{root}/*/BACK.*", schema, max_files_per_trigger=n)
+        stream_table(spark, spec, stream, f"{tmp_dir}/t{n}", f"{tmp_dir}/c{n}").awaitTermination()
+        live = live_rows(read_table(spark, f"{tmp_dir}/t{n}"))
+        out.append(sorted(tuple(r) for r in live.select("PK_CASH_TRANSACTION", "C_STATUS", "current_ts").collect()))
+    assert out[0] == out[1]
+    single = sorted(
+        tuple(r)
+        for r in Q.merge_late_event_time_tombstones(spark, SF001).select("PK_CASH_TRANSACTION", "C_STATUS", "current_ts").collect()
+    )
+    assert out[0] == single
