@@ -5,13 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, quality, secrets
+import public_tokenizers
+
+from tidemark.llm import bpe, exact_dedup, licenses, pii, quality, secrets
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and signatures of every document."""
+    found = licenses.scan_licenses(documents(spark, sf_dir))
+    first = F.transform("base", lambda b: b["first"])
+    base = F.array_sort(F.array_distinct(F.transform("base", lambda b: b["label"])))
+    more = F.transform("found", lambda f: f["label"])
+    sure = F.coalesce(F.array_max(F.transform("found", lambda f: f["weight"])), F.lit(0.0))
+    return found.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(first).alias("first_word"), F.array_max(first).alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, more)), ",").alias("labels"),
+        F.greatest(sure, F.when(F.size("base") > 0, licenses.PHRASE).otherwise(0.0)).alias("score"),
+    )
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Every document encoded with a public vocabulary and decoded again."""
+    coder = bpe.Vocabulary(vocabulary or public_tokenizers.path("word_bpe_49k.json"))
+    return bpe.encode_documents(documents(spark, sf_dir), coder).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of equal texts; the largest id stays."""
     found = exact_dedup.duplicate_groups(documents(spark, sf_dir), keep="max", carry={"text_sha256": lambda t: F.sha2(t, 256)})
@@ -37,7 +64,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op5_exact_dedup, op6_secret_scan, op7_quality_rules)}
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base kinds, and all spans."""
+    base = F.filter("spans", lambda s: s["kind"] < 4)
+
+    def count(k: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{pii.KINDS[k]}")
+
+    return pii.find_personal_data(documents(spark, sf_dir)).select(
+        "doc_id", *[count(k) for k in range(4)], F.sha2(pii.spelled(base), 256).alias("base_sha256"), pii.spelled(F.col("spans")).alias("spans"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op4_bpe, op5_exact_dedup, op6_secret_scan, op7_quality_rules, op8_personal_data)}
 
 ORACLE = {
     "op5_exact_dedup": """
