@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import bpe, exact_dedup, licenses, pii, quality, secrets
+from tidemark.llm import bpe, exact_dedup, licenses, mixing, pii, quality, secrets, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     """Every document encoded with a public vocabulary and decoded again."""
     coder = bpe.Vocabulary(vocabulary or public_tokenizers.path("word_bpe_49k.json"))
@@ -76,9 +81,51 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op4_bpe, op5_exact_dedup, op6_secret_scan, op7_quality_rules, op8_personal_data)}
+def remainder(column: str, n: int) -> Column:
+    """crc32 of an id as text, modulo ``n``; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a model that has seen labels of two thirds of the ids only."""
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), may_learn=remainder("doc_id", 3) != 1)
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_license_scan, op2_mix, op4_bpe, op5_exact_dedup, op6_secret_scan, op7_quality_rules, op8_personal_data, op9_toxicity)
+}
 
 ORACLE = {
+    "op2_mix": r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(concat_ws(':', 'mix', CAST(doc_id AS VARCHAR))) AS h, md5(coalesce(text, '')) AS text_hash
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY source),
+w AS (SELECT *, CAST(CASE rank % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS DOUBLE) AS weight, source_size * 2.0::DOUBLE AS fully FROM s),
+r AS (SELECT *, fully / weight AS ratio FROM w),
+p AS (
+  SELECT *, coalesce(sum(fully) OVER lower, 0) AS fully_before, coalesce(sum(weight) OVER lower, 0) AS weight_before,
+         sum(source_size) OVER () AS words, sum(weight) OVER () AS all_weight
+  FROM r WINDOW lower AS (ORDER BY ratio, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT *, (1.5::DOUBLE * words - fully_before) / (all_weight - weight_before) AS level FROM p),
+f AS (SELECT level AS free_level, ratio AS free_ratio, rank AS free_rank FROM l WHERE level <= ratio ORDER BY ratio, rank LIMIT 1),
+t AS (
+  SELECT source, source_size, CASE WHEN free_level IS NULL OR ratio < free_ratio OR (ratio = free_ratio AND rank < free_rank) THEN fully ELSE free_level * weight END AS target
+  FROM l LEFT JOIN f ON true),
+c AS (
+  SELECT doc_id, size, source_size, target, CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h, text_hash, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS begins
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       greatest(least(CAST(round(target) AS BIGINT) - begins, size), 0) + greatest(least(CAST(round(target) AS BIGINT) - begins - source_size, size), 0) AS taken
+FROM c
+""",
     "op5_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
