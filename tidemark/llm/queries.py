@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import bpe, exact_dedup, licenses, mixing, pii, quality, secrets, toxicity
+from tidemark.llm import bpe, exact_dedup, jaccard, licenses, mixing, pii, quality, secrets, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,9 +95,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest id that links of similar shingle sets reach."""
+    return jaccard.similar_groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_license_scan, op2_mix, op4_bpe, op5_exact_dedup, op6_secret_scan, op7_quality_rules, op8_personal_data, op9_toxicity)
+    for f in (op1_license_scan, op2_mix, op4_bpe, op5_exact_dedup, op6_secret_scan, op7_quality_rules, op8_personal_data, op9_toxicity, op10_jaccard_join)
 }
 
 ORACLE = {
