@@ -6,9 +6,11 @@ again as the next stage's documents. All stages but the last return the columns
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, quality
+from tidemark.llm import bpe, exact_dedup, jaccard, mixing, quality
 from tidemark.session import scratch_path
 
 
@@ -22,9 +24,29 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.drop_duplicates(docs, keep="max")
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that links of similar shingle sets join: the one with the smallest id."""
+    return jaccard.one_of_each(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, in training order; what it does not take is left out."""
+    return mixing.training_order(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with a digest of the text that they decode to."""
+    coder = bpe.Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    encoded = bpe.encode_documents(docs, coder)
+    return encoded.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_duplicates),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing sources", source_mix),
+    ("BPE", encoding),
 ]
 
 #: The stages rest on regular expressions, a graph search and a tokenizer; tests hold run() to brute force.

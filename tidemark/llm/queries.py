@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import bpe, exact_dedup, jaccard, licenses, mixing, pii, quality, secrets, toxicity
+from tidemark.llm import bpe, exact_dedup, jaccard, licenses, lm, mixing, pii, quality, secrets, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +35,12 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Log probability of every document, learnt from nine tenths of the ids."""
+    tokens = bpe.Vocabulary(vocabulary or public_tokenizers.path("word_bpe_49k.json"))
+    return lm.score_documents(documents(spark, sf_dir), tokens, held_out=remainder("doc_id", 10) == 0)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     """Every document encoded with a public vocabulary and decoded again."""
     coder = bpe.Vocabulary(vocabulary or public_tokenizers.path("word_bpe_49k.json"))
@@ -102,7 +108,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_license_scan, op2_mix, op4_bpe, op5_exact_dedup, op6_secret_scan, op7_quality_rules, op8_personal_data, op9_toxicity, op10_jaccard_join)
+    for f in (op1_license_scan, op2_mix, op3_lm_score, op4_bpe, op5_exact_dedup, op6_secret_scan, op7_quality_rules, op8_personal_data, op9_toxicity, op10_jaccard_join)
 }
 
 ORACLE = {
