@@ -264,8 +264,8 @@ def _tree_pairs(cells: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(search, "a bigint, b bigint").distinct()
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, sample: int = SAMPLE) -> DataFrame:
-    """Per row: id, ``n_shingles`` and ``component_id``, the smallest id that links reach."""
+def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: int) -> DataFrame:
+    """Per row: id, row_key (hash of id and text), n and the smallest id of its group."""
     spark = docs.sparkSession
     checkpoint_root(spark)
     text = text_of(docs, text_col)
@@ -310,15 +310,25 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     more = _verified(_tree_pairs(open_cells.select("h", "node", "component", "n", "vector"), percent), nodes, rows, percent)
     final = components(links.unionByName(more))
 
-    grouped = points.filter("n > 0").select("id", "node", "n").join(final, "node", "left").select("id", "n", F.coalesce("component", "node").alias("group"))
+    grouped = points.filter("n > 0").join(final, "node", "left").select("id", "row_key", "n", F.coalesce("component", "node").alias("group"))
     smallest = grouped.groupBy("group").agg(F.min("id").alias("smallest")).checkpoint()
-    named = grouped.join(smallest, "group").select("id", "n", "smallest")
-    alone = points.filter("n = 0").select("id", "n", F.col("id").alias("smallest"))
-    return named.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("smallest").alias("component_id"))
+    named = grouped.join(smallest, "group").select("id", "row_key", "n", "smallest")
+    alone = points.filter("n = 0").select("id", "row_key", "n", F.col("id").alias("smallest"))
+    return named.unionByName(alone)
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, sample: int = SAMPLE) -> DataFrame:
+    """Per row: id, ``n_shingles`` and ``component_id``, the smallest id that links reach."""
+    found = _groups(docs, id_col, text_col, percent, sample)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("smallest").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that carry the smallest id of their group, with all their columns."""
-    gone, (key,) = similar_groups(docs, id_col, text_col, **options), fresh(docs, "similar_id")
-    gone = gone.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(key)).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone[key]), "left_anti")
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` that carry the smallest id of their group, with all their columns.
+
+    Rows that share id and text count as one document and stay or go together.
+    """
+    key, gone_key = fresh(docs, "similar_key", "similar_gone")
+    gone = _groups(docs, id_col, text_col, percent, sample).filter(~F.col("id").eqNullSafe(F.col("smallest"))).select(F.col("row_key").alias(gone_key)).distinct()
+    keyed = docs.withColumn(key, F.xxhash64(docs[id_col], text_of(docs, text_col)))
+    return keyed.join(gone, keyed[key] == gone[gone_key], "left_anti").drop(key)
