@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from conftest import SF001
 from tidemark.llm import jaccard, queries
-from tidemark.llm.count_tree import CountTree, counts, folded, groups_for, likely_pairs, needed
+from tidemark.llm.count_tree import CountTree, counts, folded, groups_for, likely_pairs, needed, overlap_bound, packed, unpacked
 from tidemark.llm.graph import components
 
 SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
@@ -113,27 +113,28 @@ def test_bounds_never_lose_a_similar_pair():
             other = base.copy()
             other[:edit] = rng.integers(0, 2**63, edit, dtype=np.uint64)
             sets.append(np.unique(np.concatenate([other, rng.integers(0, 2**63, edit // 2, dtype=np.uint64)])))
-    points = [(counts(s, groups_for(len(s))), len(s)) for s in sets]
+    points = [(unpacked(packed(s)), len(s)) for s in sets]
+    assert all(np.array_equal(p, counts(s, groups_for(len(s)))) for (p, _), s in zip(points, sets))
     want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if jaccard.similar(sets[i], sets[j])}
-    found = {(min(p), max(p)) for p in likely_pairs(points, None, 75)}
+    found = {p for p in likely_pairs(points, points, 75) if p[0] < p[1]}
     assert want <= found and len(found) < len(sets) * (len(sets) - 1) / 8
     half = len(sets) // 2
     across = {(i, j + half) for i, j in likely_pairs(points[:half], points[half:], 75)}
     assert {(i, j) for i, j in want if i < half <= j} <= across
     for i, j in want:
         a, b = sets[i], sets[j]
-        assert len(np.intersect1d(a, b)) >= needed(len(a), len(b), 75)
+        assert overlap_bound(points[i][0], points[j][0]) >= len(np.intersect1d(a, b)) >= needed(len(a), len(b), 75)
         assert np.intersect1d(a[: jaccard.prefix(len(a))], b[: jaccard.prefix(len(b))]).size
 
 
 def test_tree_finds_what_a_scan_finds():
     rng = np.random.default_rng(9)
-    points = rng.poisson(3, (500, 32)) + (rng.integers(0, 9, (500, 1)) == 0) * rng.poisson(2, (500, 32))
-    sizes = points.sum(1)
+    points = (rng.poisson(3, (500, 32)) + (rng.integers(0, 9, (500, 1)) == 0) * rng.poisson(2, (500, 32))).astype(np.uint8)
+    sizes = points.sum(1, dtype=np.int64)
     tree = CountTree(points, sizes)
     for k in range(0, 500, 11):
         scan = {r for r in range(500) if 100 * min(sizes[r], sizes[k]) >= 75 * max(sizes[r], sizes[k])
-                and np.minimum(points[r], points[k]).sum() >= needed(sizes[k], sizes[r], 75)}
+                and np.minimum(points[r], points[k]).sum(dtype=np.int64) >= needed(sizes[k], sizes[r], 75)}
         assert set(map(int, tree.search(points[k], sizes[k], 75))) == scan
     assert (folded(points).sum(1) == sizes).all()
 

@@ -9,9 +9,9 @@ different sets come from count vectors (``count_tree``):
    ``n - ceil(t n) + 1`` hashes, so each node goes to the cells of those, and similar nodes meet in
    a cell. The order puts hashes last that a sample of the documents shows often. That moves work,
    never results: any order finds every pair.
-3. Stars: every node of a cell is paired with the cell's smallest node; pairs that the overlap bound
-   lets through are verified on the whole texts. This gathers large groups of near copies with one
-   pair per node.
+3. Stars: every node of a cell is paired with the cell's middle, the node with the most shared
+   hashes; pairs that the overlap bound lets through are verified on the whole texts. This gathers
+   large groups of near copies with one pair per node.
 4. Trees: cells that still hold several components are searched with an R-tree over the counts of
    their nodes; pairs of different components that the bound lets through are verified too.
 
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidemark.llm.columns import fresh, text_of
-from tidemark.llm.count_tree import counts, groups_for, likely_pairs, needed
+from tidemark.llm.count_tree import likely_pairs, needed, overlap_bound, packed, unpacked
 from tidemark.llm.graph import components
 from tidemark.session import checkpoint_root, scratch_path
 
@@ -120,7 +120,7 @@ def frequent_hashes(rows: DataFrame, sample: int = SAMPLE, most: int = FREQUENT)
 
 
 def _points(rows: DataFrame, shared, percent: int) -> DataFrame:
-    """Per row: id, row_key, node, n, vector (uint16 counts) and its frequent first hashes."""
+    """Per row: id, row_key, node, n, vector (packed counts) and its frequent first hashes."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -131,7 +131,7 @@ def _points(rows: DataFrame, shared, percent: int) -> DataFrame:
                     batch.column(0), batch.column(1),
                     pa.array([node_of(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([counts(s, groups_for(len(s))).astype(np.uint16).tobytes() for s in sets], pa.binary()),
+                    pa.array([packed(s) for s in sets], pa.binary()),
                     pa.array([_signed(_first(s, shared.value, percent)[1]) for s in sets], pa.list_(pa.int64())),
                 ], names=["id", "row_key", "node", "n", "vector", "often"])
 
@@ -167,14 +167,7 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, n_a, n_b, v_a, v_b = (c.to_pylist() for c in batch.columns)
-            kept = []
-            for k in range(len(a)):
-                p, q = np.frombuffer(v_a[k], np.uint16), np.frombuffer(v_b[k], np.uint16)
-                if len(p) > len(q):
-                    p = p.reshape(len(q), -1).sum(1)
-                elif len(q) > len(p):
-                    q = q.reshape(len(p), -1).sum(1)
-                kept.append(int(np.minimum(p, q).sum()) >= needed(n_a[k], n_b[k], percent))
+            kept = [overlap_bound(unpacked(v_a[k]), unpacked(v_b[k])) >= needed(n_a[k], n_b[k], percent) for k in range(len(a))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
@@ -231,14 +224,19 @@ def _tree_pairs(cells: DataFrame, percent: int) -> DataFrame:
     def work(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         i, j = rows[0][1], rows[0][2]
         left = [r for r in rows if r[3] == i]
-        right = None if i == j else [r for r in rows if r[3] == j]
-        if len({r[5] for r in rows}) < 2:
+        right = left if i == j else [r for r in rows if r[3] == j]
+        sizes = Counter(r[5] for r in rows)
+        if len(sizes) < 2:
             return
-        points = lambda some: [(np.frombuffer(r[7], np.uint16).astype(np.int64), r[6]) for r in some]
-        for x, y in likely_pairs(points(left), None if right is None else points(right), percent):
-            a, b = left[x], (left if right is None else right)[y]
-            if a[5] != b[5]:
-                yield max(a[4], b[4]), min(a[4], b[4])
+        # Pairs inside the largest component need no look, so its nodes are only found, from the others.
+        largest = max(sizes, key=lambda c: (sizes[c], c))
+        points = [[(unpacked(r[7]), r[6]) for r in some] for some in (left, right)]
+        sides = [(left, right, *points)] if i == j else [(left, right, *points), (right, left, *points[::-1])]
+        for mine, theirs, own, other in sides:
+            for x, y in likely_pairs(own, other, percent, lambda r, mine=mine: mine[r][5] != largest):
+                a, b = mine[x], theirs[y]
+                if a[5] != b[5]:
+                    yield max(a[4], b[4]), min(a[4], b[4])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece: list[tuple] = []
@@ -280,17 +278,21 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: i
         .select("node", "p.row_key", "p.n", "p.vector").checkpoint()
     )
 
-    # Cells, as (h, node, lowest node of the cell), of at least two nodes.
+    # Cells of at least two nodes, as (h, node).
     cell = Window.partitionBy("h")
     rare = _rare_postings(rows, shared, percent).select("h", "node", F.min("node").over(cell).alias("low"), F.max("node").over(cell).alias("high"))
     often = points.select("node", F.explode("often").alias("h")).distinct()
     # One row per frequent hash, at most FREQUENT: a broadcast of bounded size.
     ends = often.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     path = scratch_path(spark, "cells")
-    rare.filter("low < high").select("h", "node", "low").unionByName(often.join(F.broadcast(ends), "h").select("h", "node", "low")).write.parquet(path)
+    rare.filter("low < high").select("h", "node").unionByName(often.join(F.broadcast(ends), "h").select("h", "node")).write.parquet(path)
     cells = spark.read.parquet(path)
 
-    stars = cells.filter("node != low").groupBy(F.col("node").alias("a"), F.col("low").alias("b")).agg(F.count("*")).select("a", "b")
+    # A cell's star has the node with the most shared hashes in its middle: among near copies that is
+    # one with few changes, which most others are similar to.
+    weight = cells.groupBy("node").agg(F.count("*").alias("w")).checkpoint()
+    middle = cells.join(weight, "node").groupBy("h").agg(F.max(F.struct("w", "node")).alias("m")).select("h", F.col("m.node").alias("centre")).checkpoint()
+    stars = cells.join(middle, "h").filter("node != centre").groupBy(F.col("node").alias("a"), F.col("centre").alias("b")).agg(F.count("*")).select("a", "b")
     links = _verified(_bounded(stars, nodes, percent), nodes, rows, percent)
     first = components(links)
 
