@@ -4,7 +4,10 @@ import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+TESTS = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, os.path.dirname(TESTS))
+# Python workers import the test helpers too.
+os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(TESTS), TESTS, os.environ.get("PYTHONPATH", "")])
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"

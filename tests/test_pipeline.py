@@ -1,17 +1,24 @@
 import time
+import os
+import subprocess
+import sys
 from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
+
+import pytest
 
 from pyspark.sql import functions as F
 
+from tidemark.plans import pipeline
 from tidemark.plans.pipeline import Source, force_tables, load_state, run_tables
 from tidemark.sources.readers import read_table
-from tidemark.spec import TableSpec
+from tidemark.spec import LOCAL_ZONE, TableSpec
 
 ENV = "op_type string, op_ts bigint, current_ts bigint, before struct<k:bigint,v:string>, after struct<k:bigint,v:string>"
 
 
 def _land(spark, root, name, rows):
-    day = datetime.now(timezone.utc).date().isoformat()
+    day = datetime.now(ZoneInfo(LOCAL_ZONE)).date().isoformat()
     spark.createDataFrame(rows, ENV).write.parquet(f"{root}/{day}/{name}")
 
 
@@ -61,3 +68,74 @@ def test_force_tables_by_name(spark, tmp_dir):
     out = force_tables(spark, "CASH_X_etl; unknown", {"cash_x": spec}, sources, targets, state).collect()
     assert [(r.table_name, r.ok, r.rows_in) for r in out] == [("cash_x", True, 1)]
     assert [r.k for r in read_table(spark, targets["cash_x"]).collect()] == [1]
+
+
+def test_state_counts_from_its_last_write(spark, tmp_dir, monkeypatch):
+    """If the failures cannot be saved, the run has not happened: its window comes again."""
+    spec = TableSpec(name="bad", keys=("k",), post=_boom)
+    args = ([spec], {"bad": Source(root=f"{tmp_dir}/src")}, {"bad": f"{tmp_dir}/tbl"}, f"{tmp_dir}/state")
+    _land(spark, f"{tmp_dir}/src", "BACK.1", [("I", 1, 1, None, (1, "a"))])
+    with monkeypatch.context() as m:
+        m.setattr(pipeline, "FAILED_SCHEMA", "nonsense")
+        with pytest.raises(Exception):
+            run_tables(spark, *args, to_time=datetime.now(timezone.utc) + timedelta(seconds=1))
+    assert load_state(spark, f"{tmp_dir}/state") == (None, {})
+
+
+def test_failed_forced_rewrite_is_taken_up_again(spark, tmp_dir):
+    spec = TableSpec(name="t", keys=("k",))
+    sources, targets, state = {"t": Source(root=f"{tmp_dir}/src")}, {"t": f"{tmp_dir}/tbl"}, f"{tmp_dir}/state"
+    _land(spark, f"{tmp_dir}/src", "BACK.1", [("I", 1, 1, None, (1, "a"))])
+    time.sleep(1.1)
+    run_tables(spark, [spec], sources, targets, state)
+    out = force_tables(spark, "t", {"t": TableSpec(name="t", keys=("k",), post=_boom)}, sources, targets, state).collect()
+    assert not out[0].ok and "broken" in out[0].error and out[0].seconds > 0
+    assert load_state(spark, state)[1] == {"t": None}
+    assert [r.rows_in for r in run_tables(spark, [spec], sources, targets, state).collect()] == [1]
+    assert load_state(spark, state)[1] == {}
+
+
+ZONED = """
+import sys, time
+from datetime import datetime, timedelta, timezone
+sys.path[:0] = [sys.argv[1], sys.argv[1] + "/tests"]
+from tidemark.session import local_session
+spark = local_session(cores=2, shuffle_partitions=2)
+from test_pipeline import _land
+from tidemark.plans.pipeline import Source, run_tables
+from tidemark.spec import TableSpec
+spec, root = TableSpec(name="t", keys=("k",)), sys.argv[2]
+seen = []
+for n in (1, 2):
+    _land(spark, root + "/src", f"BACK.{n}", [("I", n, n, None, (n, "a"))])
+    time.sleep(1.1)
+    seen += [r.rows_in for r in run_tables(spark, [spec], {"t": Source(root=root + "/src")}, {"t": root + "/tbl"}, root + "/state").collect()]
+print("SEEN", seen)
+"""
+
+
+def test_windows_do_not_depend_on_the_zone_of_the_process(tmp_dir):
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for zone in ("Asia/Ho_Chi_Minh", "America/New_York"):
+        out = subprocess.run([sys.executable, "-c", ZONED, repo, f"{tmp_dir}/{zone}"], env=os.environ | {"TZ": zone}, capture_output=True, text=True, timeout=300)
+        assert "SEEN [1, 1]" in out.stdout, out.stdout + out.stderr[-2000:]
+
+
+def test_days_do_not_depend_on_the_zone_of_the_session(spark, tmp_dir):
+    from tidemark.plans.pipeline import run_table
+
+    env = "op_type string, op_ts bigint, current_ts bigint, before struct<k:bigint,ts:timestamp>, after struct<k:bigint,ts:timestamp>"
+    at = datetime(2024, 1, 1, 20, 0, tzinfo=timezone.utc)
+    day = datetime.now(ZoneInfo(LOCAL_ZONE)).date().isoformat()
+    spark.createDataFrame([("I", 1, 1, None, (1, at))], env).write.parquet(f"{tmp_dir}/src/{day}/BACK.1")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    run_table(spark, TableSpec(name="z", keys=("k",), partition="day", partition_source="ts"), Source(root=f"{tmp_dir}/src"), f"{tmp_dir}/tbl")
+    assert [str(r.day) for r in read_table(spark, f"{tmp_dir}/tbl").collect()] == ["2024-01-02"]
+
+
+def test_files_with_different_columns_are_read_whole(spark, tmp_dir):
+    from tidemark.sources.readers import read_changes
+
+    spark.createDataFrame([(1,)], "id bigint").write.parquet(f"{tmp_dir}/a")
+    spark.createDataFrame([(2, "x")], "id bigint, more string").write.parquet(f"{tmp_dir}/b")
+    assert sorted(map(tuple, read_changes(spark, [f"{tmp_dir}/a", f"{tmp_dir}/b"]).collect())) == [(1, None), (2, "x")]

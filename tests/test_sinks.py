@@ -1,13 +1,15 @@
 import glob
 import json
-import os
-from datetime import datetime
+from datetime import datetime, timedelta
+
+import pytest
 
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import live_rows
-from tidemark.sinks.clients import JsonLinesClient
-from tidemark.sinks.tables import export_partitions, merge_into, register_table
+from clients import JsonLinesClient
+from tidemark.sinks import versions as V
+from tidemark.sinks.tables import export_partitions, file_rows, merge_into, register_table
 from tidemark.sources.readers import read_table, table_if_exists
 from tidemark.spec import TableSpec
 
@@ -28,7 +30,7 @@ def test_merge_into_moves_rows_between_partitions_and_drops_empty(spark, tmp_dir
     assert r.touched_partitions == 2
     got = sorted((x.k, x.v, str(x.day)) for x in read_table(spark, path).collect())
     assert got == [(1, "a2", "2024-01-02"), (3, "c", "2024-01-02")]
-    assert not os.path.exists(f"{path}/day=2024-01-01")
+    assert set(V.load(spark, path).folders) == {"2024-01-02"}
     # replay of the same batch changes nothing
     merge_into(spark, _batch(spark, [(1, "a2", d2, "U", 2, 2), (2, None, d1, "D", 2, 2)]), SPEC, path)
     assert sorted((x.k, x.v) for x in read_table(spark, path).collect()) == [(1, "a2"), (3, "c")]
@@ -49,7 +51,7 @@ def test_table_if_exists_only_for_missing(spark, tmp_dir):
 def test_register_table(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     merge_into(spark, _batch(spark, [(1, "a", datetime(2024, 1, 1), "I", 1, 1), (2, "b", datetime(2024, 1, 2), "I", 1, 1)]), SPEC, path)
-    df = register_table(spark, "tm_test_registered", path, SPEC)
+    df = register_table(spark, "tm_test_registered", path)
     assert df.count() == 2
     assert spark.sql("SELECT count(*) FROM tm_test_registered WHERE day = DATE'2024-01-02'").collect()[0][0] == 1
 
@@ -61,31 +63,6 @@ def test_export_partitions_batches(spark, tmp_dir):
     assert len(lines) == 12001 and len(glob.glob(f"{tmp_dir}/*.jsonl")) == 3
 
 
-def test_locate_by_images_matches_key_scan(spark, tmp_dir):
-    from dataclasses import replace
-
-    from tidemark.operators.changes import prepare_changes
-
-    env = "op_type string, op_ts bigint, current_ts bigint, before struct<k:bigint,ts:timestamp>, after struct<k:bigint,ts:timestamp>"
-    d = [datetime(2024, 1, i, 1) for i in range(1, 5)]
-    b1 = spark.createDataFrame([("I", 1, 1, None, (1, d[0])), ("I", 1, 1, None, (2, d[1]))], env)
-    # key 1 moves day1 -> day2 -> day3 inside one batch; key 2 is deleted
-    b2 = spark.createDataFrame(
-        [("U", 2, 2, (1, d[0]), (1, d[1])), ("U", 3, 3, (1, d[1]), (1, d[2])), ("D", 4, 4, (2, d[1]), None)], env
-    )
-    spec = TableSpec(name="m", keys=("k",), partition="day", partition_source="ts", shift_hours=0)
-    fast = replace(spec, locate_by_images=True)
-    out = {}
-    for name, sp in (("scan", spec), ("images", fast)):
-        path = f"{tmp_dir}/{name}"
-        merge_into(spark, prepare_changes(b1, sp), sp, path)
-        merge_into(spark, prepare_changes(b2, sp), sp, path)
-        df = read_table(spark, path)
-        assert "_prev_partition" not in df.columns
-        out[name] = sorted((r.k, str(r.day)) for r in df.collect())
-    assert out["scan"] == out["images"] == [(1, "2024-01-03")]
-
-
 def test_null_partition_rows_survive_unrelated_batches(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     d = datetime(2024, 1, 1, 10)
@@ -103,3 +80,107 @@ def test_empty_batch_writes_nothing(spark, tmp_dir):
     r = merge_into(spark, _batch(spark, [(None, "x", d, "I", 2, 2)]), SPEC, path)
     assert r.batch_keys == 0 and r.rows_written == 0
     assert sorted(glob.glob(f"{path}/**/*.parquet", recursive=True)) == before
+
+
+def test_new_columns_of_a_stored_table_stay(spark, tmp_dir):
+    """A column that one batch brings is there for all later batches, in touched and untouched partitions."""
+    path = f"{tmp_dir}/t"
+    d1, d2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    merge_into(spark, _batch(spark, [(1, "a", d1, "I", 1, 1), (2, "b", d2, "I", 1, 1)]), SPEC, path)
+    merge_into(spark, _batch(spark, [(3, "c", d1, "I", 2, 2)]).withColumn("channel", F.lit("web")), SPEC, path)
+    merge_into(spark, _batch(spark, [(4, "d", d1, "I", 3, 3)]), SPEC, path)
+    got = sorted((r.k, r.channel) for r in read_table(spark, path).collect())
+    assert got == [(1, None), (2, None), (3, "web"), (4, None)]
+    assert sorted((r.k, r.channel) for r in register_table(spark, "tm_test_evolved", path).collect()) == got
+
+
+def test_table_without_rows_takes_batches(spark, tmp_dir):
+    d = datetime(2024, 1, 1)
+    for name, first in (("deletes_only", "D"), ("all_deleted", "I")):
+        path = f"{tmp_dir}/{name}"
+        merge_into(spark, _batch(spark, [(1, "a", d, first, 1, 1)]), SPEC, path)
+        merge_into(spark, _batch(spark, [(1, "a", d, "D", 2, 2)]), SPEC, path)
+        assert read_table(spark, path).count() == 0 and table_if_exists(spark, path) is None
+        merge_into(spark, _batch(spark, [(2, "b", d, "I", 3, 3)]), SPEC, path)
+        assert [r.k for r in read_table(spark, path).collect()] == [2]
+
+
+def test_partition_values_keep_their_text(spark, tmp_dir):
+    path, spec = f"{tmp_dir}/t", TableSpec(name="t", keys=("k",), partition="p")
+    rows = [(1, "01"), (2, "a:b/c=d%20 'q'"), (3, None), (4, ""), (5, "null")]
+    frame = lambda some, op, ts: spark.createDataFrame([(k, p, op, ts, ts) for k, p in some], "k bigint, p string, op_type string, current_ts bigint, op_ts bigint")
+    merge_into(spark, frame(rows, "I", 1), spec, path)
+    merge_into(spark, frame(rows[:2], "U", 2), spec, path)
+    assert sorted(((r.k, r.p) for r in read_table(spark, path).collect())) == rows
+    merge_into(spark, frame(rows[1:2], "D", 3), spec, path)
+    assert sorted(r.k for r in read_table(spark, path).collect()) == [1, 3, 4, 5]
+
+
+def test_a_run_that_dies_before_its_commit_leaves_the_table(spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/t"
+    d1, d2 = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    merge_into(spark, _batch(spark, [(1, "a", d1, "I", 1, 1), (2, "b", d2, "I", 1, 1)]), SPEC, path)
+
+    def dies(*_):
+        raise OSError("gone")
+
+    move = _batch(spark, [(1, "a2", d2, "U", 2, 2)])
+    with monkeypatch.context() as m:
+        m.setattr(V, "commit", dies)
+        for full in (False, True):
+            with pytest.raises(OSError):
+                merge_into(spark, move, SPEC, path, full_refresh=full)
+            assert sorted((r.k, r.v, str(r.day)) for r in read_table(spark, path).collect()) == [(1, "a", "2024-01-01"), (2, "b", "2024-01-02")]
+    merge_into(spark, move, SPEC, path)
+    assert sorted((r.k, r.v, str(r.day)) for r in read_table(spark, path).collect()) == [(1, "a2", "2024-01-02"), (2, "b", "2024-01-02")]
+
+
+def test_replaced_folders_go_with_the_commit_after(spark, tmp_dir):
+    path, d = f"{tmp_dir}/t", datetime(2024, 1, 1)
+    for n in range(1, 6):
+        merge_into(spark, _batch(spark, [(1, str(n), d, "U", n, n)]), SPEC, path)
+    assert len(glob.glob(f"{path}/data/*/_p=*")) == 2 and len(glob.glob(f"{path}/_versions/*")) == 2
+    assert [r.v for r in read_table(spark, path).collect()] == ["5"]
+
+
+def test_a_batch_reads_and_writes_its_own_days(spark, tmp_dir):
+    path, d = f"{tmp_dir}/t", datetime(2024, 1, 1)
+    merge_into(spark, _batch(spark, [(k, "a", d + timedelta(days=k % 30), "I", 1, 1) for k in range(300)]), SPEC, path)
+    before = V.load(spark, path)
+    merge_into(spark, _batch(spark, [(1000, "new", d, "I", 2, 2)]), SPEC, path)
+    after = V.load(spark, path)
+    assert {k for k in after.folders if after.folders[k] != before.folders.get(k)} == {"2024-01-01"}
+    scope = V.frame(spark, path, after, ["2024-01-01"])
+    assert len(scope.inputFiles()) == len(glob.glob(f"{path}/{after.folders['2024-01-01']}/*.parquet"))
+
+
+def test_one_account_on_one_day_is_split_by_key(spark, tmp_dir):
+    """A third of all rows share day and layout column, and still no file has more than its share."""
+    path = f"{tmp_dir}/t"
+    rows = spark.range(30_000).select(
+        F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("v"),
+        F.lit(datetime(2024, 1, 1)).alias("ts"), F.lit("I").alias("op_type"), F.lit(1).cast("bigint").alias("current_ts"), F.lit(1).cast("bigint").alias("op_ts"),
+    ).withColumn("day", F.to_date("ts"))
+    from tidemark.sinks.tables import layout
+
+    sizes = layout(rows, SPEC).groupBy(F.spark_partition_id()).count().collect()
+    assert layout(rows.repartition(8), SPEC).rdd.getNumPartitions() >= 1 and sum(r["count"] for r in sizes) == 30_000
+    merge_into(spark, rows, SPEC, path)
+    assert file_rows(120 * 1024 * 1024, 1000) == 500
+    assert read_table(spark, path).count() == 30_000
+
+
+def test_files_stay_below_the_target(spark, tmp_dir, monkeypatch):
+    from tidemark.sinks import tables
+
+    monkeypatch.setattr(tables, "file_rows", lambda size, rows, target=0: file_rows(size, rows, size // 8))
+    path = f"{tmp_dir}/t"
+    merge_into(spark, _batch(spark, [(k, f"{k * 7919 % 10007}", datetime(2024, 1, 1), "I", 1, 1) for k in range(8000)]), SPEC, path)
+    per_file = [r["count"] for r in read_table(spark, path).groupBy(F.input_file_name()).count().collect()]
+    assert max(per_file) <= 1100 and len(per_file) >= 8
+
+
+def test_other_formats_are_refused(spark, tmp_dir):
+    spec = TableSpec(name="t", keys=("k",), format="delta")
+    with pytest.raises(ValueError):
+        merge_into(spark, _batch(spark, [(1, "a", datetime(2024, 1, 1), "I", 1, 1)]), spec, f"{tmp_dir}/t")

@@ -8,14 +8,17 @@ from __future__ import annotations
 
 import time
 from datetime import datetime, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import SparkSession
 
 from tidemark.fixtures import frames as FX
+from tidemark.spec import LOCAL_ZONE
 
 
 def today() -> str:
-    return datetime.now(timezone.utc).date().isoformat()
+    """The day folder of now, in the zone of the source."""
+    return datetime.now(ZoneInfo(LOCAL_ZONE)).date().isoformat()
 
 
 def write_dataset(spark: SparkSession, sf_dir: str, root: str, name: str, parts: str, snapshot: bool = False) -> str:

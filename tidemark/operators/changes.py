@@ -9,37 +9,16 @@ collected here, so the whole chain compiles into the scan's codegen stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidemark.operators.envelope import flatten, floor_snapshot, image_fields, split_key_changes, split_ops
+from tidemark.operators.envelope import flatten, floor_snapshot, split_key_changes, split_ops
 from tidemark.operators.normalize import clamp_times, require, shift_times, with_day
 from tidemark.spec import TableSpec
 
 
-PREV_PARTITION = "_prev_partition"
-_PREV_SOURCE = "_prev_source"
-
-
-def _with_prev_source(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """The partition source of the row's before-image (where the key lived before this change).
-
-    It goes through the same shift/clamp as the partition source itself, then becomes a day.
-    """
-    before = image_fields(df.schema, "before")
-    after = image_fields(df.schema, "after")
-    src = spec.partition_source
-    dtype = before.get(src) or after.get(src)
-    value = F.col("before").getField(src) if src in before else F.lit(None)
-    return df.withColumn(_PREV_SOURCE, value.cast(dtype) if dtype is not None else value.cast("timestamp"))
-
-
 def prepare_changes(envelope: DataFrame, spec: TableSpec) -> DataFrame:
     df = split_ops(envelope)
     if spec.split_key_change:
         df = split_key_changes(df, spec.keys)
-    images = spec.locate_by_images and spec.partition and spec.partition_source
-    if images:
-        df = _with_prev_source(df, spec)
     df = flatten(df, partial_after=spec.partial_after)
     df = floor_snapshot(df, spec.snapshot_floor_us)
     df = shift_times(df, spec.shift_hours, spec.keep_dates)
@@ -48,6 +27,4 @@ def prepare_changes(envelope: DataFrame, spec: TableSpec) -> DataFrame:
         df = df.transform(spec.post)
     if spec.partition and spec.partition_source:
         df = with_day(df, spec.partition_source, spec.partition)
-    if images:
-        df = with_day(df, _PREV_SOURCE, PREV_PARTITION).drop(_PREV_SOURCE)
     return require(df, spec.required, spec.keys)

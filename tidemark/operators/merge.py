@@ -4,11 +4,10 @@
 ordering struct). The aggregate runs partially on the map side, so a key that holds a third of
 a batch is reduced to one row per map task before the shuffle.
 
-``merge_latest`` then combines the stored rows with the per-key winners without a full outer
-join: only the keys of the batch are compared with the stored ordering values, then the stored
-rows lose the keys the batch wins (left anti join) and the winning non-delete rows are added.
-When the batch is small (a checked row bound) its side is broadcast and the stored table is
-only streamed, never shuffled.
+``merge_latest`` joins the stored rows once with the orderings of the batch: stored rows that the
+batch does not beat stay, the keys of those are stale in the batch, and the other changes of the
+batch are added unless they delete. When the batch is small (a checked size) its side is
+broadcast and the stored rows are only streamed, never shuffled.
 """
 
 from __future__ import annotations
@@ -25,7 +24,6 @@ from pyspark.sql.types import (
     FloatType,
     IntegerType,
     LongType,
-    MapType,
     ShortType,
     TimestampNTZType,
     TimestampType,
@@ -34,6 +32,8 @@ from pyspark.sql.types import (
 from tidemark.spec import ARRIVAL, EVENT_ORDER, EVENT_TIME, OP_DELETE, UPSERT_THEN_DELETE
 
 TOMBSTONE = "_deleted"
+# Latest ordering of a key's changes in the batch, where the winning row is not the latest one.
+BATCH_ORDER = "_batch_order"
 
 # Rank of an operation when ordering values tie: a delete beats an update, an update beats an
 # insert, an insert beats a snapshot row.
@@ -60,7 +60,7 @@ def ordering_struct(
 def _row_hash(df: DataFrame, cols: Sequence[str]) -> list[Column]:
     """A hash of the row's values: the last tie-break, so that equal ordering values still pick the
     same row on every recomputation (a retried task must not choose differently)."""
-    hashable = [c for c in cols if not isinstance(df.schema[c].dataType, MapType)]
+    hashable = [c for c in cols if "map<" not in df.schema[c].dataType.simpleString()]
     return [F.xxhash64(*[F.col(f"`{c}`") for c in hashable])] if hashable else []
 
 
@@ -82,12 +82,14 @@ def latest_per_key(
     prefix = [(F.col("op_type") == OP_DELETE).cast("int")] if deletes_win else []
     order = ordering_struct(ordering, prefix, [t for t in tiebreak if t in df.columns], _row_hash(df, payload))
     cols = df.columns
+    # Upserts that lose to a delete of the batch still say how late the batch is for the key.
+    latest = [F.max(ordering_struct(ordering)).alias(BATCH_ORDER)] if deletes_win and ordering else []
     out = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
-        F.max_by(F.struct(*[F.col(f"`{c}`") for c in payload]), order).alias("_row")
-    )
-    return out.select(*[F.col(f"`{k}`") for k in keys], *[F.col("_row").getField(c).alias(c) for c in payload]).select(
-        *[f"`{c}`" for c in cols]
+        F.max_by(F.struct(*[F.col(f"`{c}`") for c in payload]), order).alias("_row"), *latest
     )
+    return out.select(
+        *[F.col(f"`{k}`") for k in keys], *[F.col("_row").getField(c).alias(c) for c in payload], *[BATCH_ORDER for _ in latest]
+    ).select(*[f"`{c}`" for c in cols], *[BATCH_ORDER for _ in latest])
 
 
 # Implicit widenings allowed when a batch brings a narrower type than the stored column.
@@ -121,10 +123,6 @@ def reconcile(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return incoming.select(*exprs)
 
 
-def _key_cols(keys: Sequence[str]) -> list[str]:
-    return list(keys)
-
-
 def merge_latest(
     current: Optional[DataFrame],
     latest: DataFrame,
@@ -141,34 +139,33 @@ def merge_latest(
     tombstone rows (``_deleted = true``) when ``keep_tombstones`` is set, so that an older change
     arriving later still loses.
     """
-    keys = _key_cols(keys)
+    keys = list(keys)
     is_delete = F.col("op_type") == OP_DELETE
     if keep_tombstones:
         latest = latest.withColumn(TOMBSTONE, is_delete)
 
     if current is None:
-        winners = latest
+        winners = latest.drop(BATCH_ORDER)
         return winners if keep_tombstones else winners.filter(~is_delete)
+    if late_policy not in (ARRIVAL, EVENT_TIME):
+        raise ValueError(f"unknown late_policy {late_policy!r}")
 
+    ordering = [c for c in ordering if c in current.columns and c in latest.columns]
+    batch_order = F.col(BATCH_ORDER) if BATCH_ORDER in latest.columns else ordering_struct(ordering)
+    latest = latest.withColumn("_batch_ord", batch_order).drop(BATCH_ORDER) if ordering else latest.withColumn("_batch_ord", F.lit(None))
     latest = reconcile(current, latest)
     hint = F.broadcast if broadcast_batch else (lambda d: d)
 
-    if late_policy == ARRIVAL:
-        winners = latest
-    elif late_policy == EVENT_TIME:
-        ordering = [c for c in ordering if c in current.columns and c in latest.columns]
-        stored_ord = current.select(*keys, ordering_struct(ordering).alias("_stored_ord"))
-        batch_ord = latest.select(*keys, ordering_struct(ordering).alias("_batch_ord"))
-        stale = (
-            stored_ord.join(hint(batch_ord), keys, "inner")
-            .filter(F.col("_stored_ord") > F.col("_batch_ord"))
-            .select(*keys)
-        )
-        winners = latest.join(stale, keys, "left_anti")
-    else:
-        raise ValueError(f"unknown late_policy {late_policy!r}")
-
-    kept = current.join(hint(winners.select(*keys)), keys, "left_anti")
+    # One join of the stored rows with the batch's orderings decides for both sides: rows that the
+    # batch does not beat stay, and their keys are stale in the batch.
+    met = current.select("*", ordering_struct(ordering).alias("_stored_ord")) if ordering else current.withColumn("_stored_ord", F.lit(None))
+    met = met.join(hint(latest.select(*keys, "_batch_ord", F.lit(True).alias("_in_batch"))), keys, "left")
+    stale = F.coalesce(F.col("_stored_ord") > F.col("_batch_ord"), F.lit(False)) if late_policy == EVENT_TIME and ordering else F.lit(False)
+    met = met.withColumn("_stale", F.col("_in_batch").isNotNull() & stale)
+    kept = met.filter(F.col("_in_batch").isNull() | F.col("_stale")).select(*[F.col(f"`{c}`") for c in current.columns])
+    winners = latest.drop("_batch_ord")
+    if late_policy == EVENT_TIME and ordering:
+        winners = winners.join(hint(met.filter("_stale").select(*keys)) if broadcast_batch else met.filter("_stale").select(*keys), keys, "left_anti")
     added = winners if keep_tombstones else winners.filter(~is_delete)
     return kept.unionByName(added, allowMissingColumns=True)
 
@@ -202,5 +199,6 @@ def apply_changes(
 def live_rows(df: DataFrame) -> DataFrame:
     """Rows of a stored table without tombstones."""
     if TOMBSTONE in df.columns:
-        return df.filter(~F.col(TOMBSTONE)).drop(TOMBSTONE)
+        # Rows from before tombstones were kept have no mark.
+        return df.filter(~F.coalesce(F.col(TOMBSTONE), F.lit(False))).drop(TOMBSTONE)
     return df

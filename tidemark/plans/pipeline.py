@@ -1,8 +1,9 @@
 """Runs: one table (files -> batches -> merge), many tables with run state, forced resync.
 
-Per batch there is one lazy plan from the files to the merged table and one write; counts come
-from ``Observation`` on that plan, not from extra jobs. The driver only handles file names of
-the current batch and one result row per table.
+Per batch one lazy plan leads from the files to the staged changes, one per key, and a second one
+from there to the new folders of the table; the change counts come from ``Observation`` on the first.
+The driver handles file names of the current batch, the table's partitions and one result row per
+table. Times have a zone from end to end, so the zone of the process does not matter.
 
 Run state lives in three small tables below ``state_root`` (one row per run / per table):
 ``run_state (run_id, common_last, updated_at)``, ``failed_tables (table_name, failed_from,
@@ -26,7 +27,8 @@ from tidemark.operators.envelope import observe_ops
 from tidemark.sinks.tables import merge_into
 from tidemark.sources import files as FS
 from tidemark.sources.readers import read_envelope, table_if_exists
-from tidemark.spec import TableSpec, resolve_tables
+from tidemark.session import apply_engine_conf
+from tidemark.spec import LOCAL_ZONE, TableSpec, resolve_tables
 
 METRICS_SCHEMA = (
     "run_id string, table_name string, started_at timestamp, seconds double, batches bigint, rows_in bigint, "
@@ -37,7 +39,7 @@ FAILED_SCHEMA = "table_name string, failed_from timestamp, run_id string"
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
 
 
 @dataclass
@@ -66,6 +68,7 @@ class Source:
     batch_size: int = 100
     isolated_files: tuple[str, ...] = ()
     slack_days: int = 0
+    zone: str = LOCAL_ZONE  # whose days name the folders
     options: dict = field(default_factory=dict)
 
 
@@ -86,14 +89,27 @@ def run_table(
     to_time: Optional[datetime] = None,
     full_refresh: bool = False,
     run_id: Optional[str] = None,
+    result: Optional[RunResult] = None,
 ) -> RunResult:
-    """Process the files of one table that arrived in ``[from_time, to_time]`` (both included)."""
-    run_id = run_id or uuid.uuid4().hex
-    res = RunResult(run_id, spec.name, _now())
-    t0 = time.time()
-    files = FS.select_window(
-        FS.list_files(spark, source.root, from_time, to_time, source.slack_days), from_time, to_time, source.slack_days
-    )
+    """Process the files of one table that arrived in ``[from_time, to_time]`` (both included).
+
+    ``result``, if given, is filled as the run goes on, so that a run that fails shows how far it came.
+    """
+    apply_engine_conf(spark)
+    res = result if result is not None else RunResult(run_id or uuid.uuid4().hex, spec.name, _now())
+    run_id, t0 = res.run_id, time.time()
+    try:
+        _run_files(spark, spec, source, target, from_time, to_time, full_refresh, res)
+    finally:
+        res.seconds = time.time() - t0
+    return res
+
+
+def _run_files(spark, spec, source, target, from_time, to_time, full_refresh, res: RunResult) -> None:
+    """Merge the files of a window batch by batch; ``res`` counts what has been merged so far."""
+    run_id = res.run_id
+    listed = FS.list_files(spark, source.root, from_time, to_time, source.slack_days, source.zone)
+    files = FS.select_window(listed, from_time, to_time, source.slack_days, source.zone)
     plan = plan_batches(files, source).select("path", "kind", "batch_id").checkpoint(eager=True)
     last = plan.agg(F.max("batch_id")).collect()[0][0]
     first = True
@@ -119,8 +135,6 @@ def run_table(
         res.deletes += m["deletes"]
         res.snapshots += m["snapshots"]
         res.rejected += m["rows"] - accepted.get["accepted"]
-    res.seconds = time.time() - t0
-    return res
 
 
 def _state_table(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
@@ -135,8 +149,8 @@ def load_state(spark: SparkSession, state_root: str) -> tuple[Optional[datetime]
     if not last:
         return None, {}
     ft = _state_table(spark, state_root, "failed_tables", FAILED_SCHEMA).filter(F.col("run_id") == last[0]["run_id"])
-    failed = {r["table_name"]: r["failed_from"] for r in ft.collect() if r["table_name"] is not None}
-    return last[0]["common_last"], failed
+    failed = {r["table_name"]: _aware(r["failed_from"]) for r in ft.collect() if r["table_name"] is not None}
+    return _aware(last[0]["common_last"]), failed
 
 
 def save_state(
@@ -147,25 +161,33 @@ def save_state(
     failed: Mapping[str, Optional[datetime]],
     results: Iterable[RunResult],
 ) -> None:
+    """Failures and metrics first: the run counts from the moment its ``run_state`` row is there."""
     root = state_root.rstrip("/")
-    now = _now()
-    spark.createDataFrame([(run_id, common_last, now)], RUN_STATE_SCHEMA).write.mode("append").parquet(f"{root}/run_state")
     rows = [(t, f, run_id) for t, f in failed.items()] or [(None, None, run_id)]
     spark.createDataFrame(rows, FAILED_SCHEMA).write.mode("append").parquet(f"{root}/failed_tables")
     metrics = [tuple(asdict(r).values()) for r in results]
     if metrics:
         spark.createDataFrame(metrics, METRICS_SCHEMA).write.mode("append").parquet(f"{root}/run_metrics")
+    spark.createDataFrame([(run_id, common_last, _now())], RUN_STATE_SCHEMA).write.mode("append").parquet(f"{root}/run_state")
 
 
 def results_frame(spark: SparkSession, results: Iterable[RunResult]) -> DataFrame:
     return spark.createDataFrame([tuple(asdict(r).values()) for r in results], METRICS_SCHEMA)
 
 
-def _naive_utc(t: Optional[datetime]) -> Optional[datetime]:
-    """Aware times -> naive UTC (how collected timestamps come back with a UTC session)."""
-    if t is None or t.tzinfo is None:
-        return t
-    return t.astimezone(timezone.utc).replace(tzinfo=None)
+def _aware(t: Optional[datetime]) -> Optional[datetime]:
+    """Collected timestamps come without a zone, in that of the process."""
+    return None if t is None else t.astimezone(timezone.utc)
+
+
+def _isolated(spark, spec, source, target, start, end, full, run_id) -> RunResult:
+    """One table's run; a failure becomes part of its result."""
+    res = RunResult(run_id, spec.name, _now())
+    try:
+        run_table(spark, spec, source, target, start, end, full, run_id, res)
+    except Exception as e:  # noqa: BLE001 - isolation: report and go on with the next table
+        res.ok, res.error = False, f"{type(e).__name__}: {e}"
+    return res
 
 
 def run_tables(
@@ -183,17 +205,14 @@ def run_tables(
     run. Without a common time the run starts from the beginning and rewrites the tables.
     """
     run_id = run_id or uuid.uuid4().hex
-    to_time = _naive_utc(to_time) or _now()
+    to_time = FS.as_utc(to_time) if to_time is not None else _now()
     common, failed = load_state(spark, state_root)
     if common is not None and to_time < common:
         raise ValueError(f"end time {to_time} is before the last common time {common}")
     results, still_failed = [], {}
     for spec in specs:
         start = failed[spec.name] if spec.name in failed else common
-        try:
-            res = run_table(spark, spec, sources[spec.name], targets[spec.name], start, to_time, start is None, run_id)
-        except Exception as e:  # noqa: BLE001 - isolation: report and go on with the next table
-            res = RunResult(run_id, spec.name, _now(), ok=False, error=f"{type(e).__name__}: {e}"[:2000])
+        res = _isolated(spark, spec, sources[spec.name], targets[spec.name], start, to_time, start is None, run_id)
         if not res.ok:
             still_failed[spec.name] = start
         results.append(res)
@@ -212,19 +231,21 @@ def force_tables(
     run_id: Optional[str] = None,
 ) -> DataFrame:
     """Resync named tables from ``from_time`` (append) or from the beginning (rewrite) up to the
-    common time. Success clears a table's failure entry; the common time does not change."""
+    common time. Success clears a table's failure entry, failure makes one; the common time does not
+    change."""
     run_id = run_id or uuid.uuid4().hex
-    from_time = _naive_utc(from_time)
+    from_time = None if from_time is None else FS.as_utc(from_time)
     common, failed = load_state(spark, state_root)
     chosen = resolve_tables(names, dict(specs))
     results = []
     for spec in chosen:
-        try:
-            res = run_table(spark, spec, sources[spec.name], targets[spec.name], from_time, common, from_time is None, run_id)
-        except Exception as e:  # noqa: BLE001
-            res = RunResult(run_id, spec.name, _now(), ok=False, error=f"{type(e).__name__}: {e}"[:2000])
+        res = _isolated(spark, spec, sources[spec.name], targets[spec.name], from_time, common, from_time is None, run_id)
         if res.ok:
             failed.pop(spec.name, None)
+        elif spec.name not in failed or failed[spec.name] is not None:
+            # The next run takes the table up again from the earlier of the two starts.
+            earlier = failed.get(spec.name)
+            failed[spec.name] = from_time if from_time is None or earlier is None else min(from_time, earlier)
         results.append(res)
     save_state(spark, state_root, run_id, common, failed, results)
     return results_frame(spark, results)

@@ -469,7 +469,7 @@ def file_classify(spark, sf_dir):
        + f"SELECT path, epoch_us(mtime) AS mtime FROM FILES WHERE mtime BETWEEN TIMESTAMP '{WINDOW[0]}' AND TIMESTAMP '{WINDOW[1]}' "
        f"AND day BETWEEN DATE '{WINDOW[0][:10]}' AND DATE '{WINDOW[1][:10]}'")
 def file_window(spark, sf_dir):
-    return comparable(FS.select_window(_files(spark, sf_dir), *WINDOW).select("path", "mtime"))
+    return comparable(FS.select_window(_files(spark, sf_dir), *WINDOW, zone="UTC").select("path", "mtime"))
 
 
 @query("file_batches", S.with_ctes(S.file_listing_cte())
@@ -507,11 +507,11 @@ def file_batches_isolated(spark, sf_dir):
     "(table_name NOT IN ('CLICK', 'ERROR') AND mtime >= TIMESTAMP '2024-01-25 00:00:00'))",
 )
 def retry_floor(spark, sf_dir):
-    from datetime import datetime
+    from datetime import datetime, timezone
 
     files = _files(spark, sf_dir, per_table=True)
     failed = spark.createDataFrame(
-        [("CLICK", datetime(2024, 1, 20)), ("ERROR", None)], "table_name string, failed_from timestamp"
+        [("CLICK", datetime(2024, 1, 20, tzinfo=timezone.utc)), ("ERROR", None)], "table_name string, failed_from timestamp"
     )
     out = FS.retry_floor(files, failed, "2024-01-25 00:00:00", "2024-01-28 00:00:00")
     return comparable(out.select("table_name", "path", "mtime"))
@@ -671,7 +671,7 @@ def registered_table(spark, sf_dir):
 
     target, _ = _stored_cash(spark, sf_dir)
     name = f"tidemark_cash_{uuid.uuid4().hex[:8]}"
-    register_table(spark, name, target, CASH_TRANSACTIONS)
+    register_table(spark, name, target)
     return spark.sql(
         f"SELECT C_STATUS, count(*) AS n_rows, CAST(round(sum(C_AMOUNT)) AS BIGINT) AS amount FROM {name} GROUP BY C_STATUS"
     )

@@ -7,7 +7,6 @@ folder of our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -23,17 +22,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.parquet.datetimeRebaseModeInWrite", "CORRECTED")
-        .config("spark.sql.parquet.datetimeRebaseModeInRead", "CORRECTED")
-        .config("spark.sql.parquet.int96RebaseModeInWrite", "CORRECTED")
-        .config("spark.sql.parquet.int96RebaseModeInRead", "CORRECTED")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    apply_engine_conf(spark)
     return spark
 
 
@@ -66,6 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current is not None:
             _OWN_ROOT[key] = current.rstrip("/")
         else:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
             root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
             sc.setCheckpointDir(root)
             _OWN_ROOT[key] = root
@@ -76,12 +73,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a staged table below the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return f"{root}/tidemark-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_local_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file:", "")), exist_ok=True)

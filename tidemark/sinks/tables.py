@@ -1,43 +1,37 @@
 """Writing silver tables: merge a batch into a stored table, layout, registration, export.
 
-Merge into a stored parquet table (copy-on-write, per touched partition):
-
-1. the batch is reduced to one change per key and checkpointed (reliable, shared folder), so it
-   is computed once and its row count is a measured bound;
-2. touched partitions = partitions of the batch rows, plus partitions that hold a batch key today
-   (a key may move between partitions); one small frame, bounded by the table's partition count;
-3. only touched partitions of the stored table are read (static partition pruning on the measured
-   list of touched values);
-4. the merged rows are checkpointed before anything is overwritten: the overwrite never reads
-   the files it replaces;
-5. touched partitions are replaced with dynamic partition overwrite; a touched partition that
-   ends up empty is removed.
-
-Tables in a transactional format (``delta``, ``hudi``, ``iceberg``) pass ``format`` through; the
-same merged frame is written with that format's writer.
+A stored table is a set of immutable folders, one or more per partition, and a version record that
+names the current ones (``versions``). A merge
+
+1. reduces the batch to one change per key and stages it once in the shared folder;
+2. finds the touched partitions: those of the batch rows and those that hold a batch key today (a
+   key may move); stored files whose key range cannot hold a batch key are skipped by their
+   statistics;
+3. reads only the touched partitions, merges, and writes the result once, to new folders;
+4. commits a version that points to the new folders. A run that dies before leaves the old table.
+
+Folders that a commit replaces stay until the next commit, for readers that have begun with them.
+Transactional formats (``delta``, ``hudi``, ``iceberg``) have a merge of their own: their tables are
+not written by folder, ``merge_into`` raises for them.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
-from typing import Callable, Iterable, Optional
+from typing import Callable, Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.changes import PREV_PARTITION
 from tidemark.operators.merge import apply_changes, latest_per_key, merge_latest
-from tidemark.session import checkpoint_root
-from tidemark.sources.readers import table_if_exists
-from tidemark.spec import EXPORT_BATCH_ROWS, UPSERT_THEN_DELETE, TableSpec
+from tidemark.session import apply_engine_conf, checkpoint_root, scratch_path
+from tidemark.sinks import versions as V
+from tidemark.spec import EXPORT_BATCH_ROWS, MAX_FILE_BYTES, UPSERT_THEN_DELETE, TableSpec
 
-# A batch with at most this many keys is broadcast into the merge joins (measured after the
-# checkpoint, so the bound is proven, not estimated). Above it the joins shuffle on the key.
-BROADCAST_BATCH_ROWS = 2_000_000
-# Up to this many touched partitions the stored table is read through a literal partition filter
-# (static pruning: untouched folders are never listed or read); above it a semi join selects them.
-PRUNE_LITERALS = 20_000
-BROADCAST_PARTITIONS = 100_000
+# A staged batch whose files have at most this many bytes is broadcast into the merge joins. The
+# files are compressed, so this is far below what a broadcast may hold; above it the joins shuffle.
+BROADCAST_BATCH_BYTES = 32 * 1024 * 1024
 
 
 @dataclass
@@ -66,66 +60,62 @@ def merge_frames(stored: Optional[DataFrame], changes: DataFrame, spec: TableSpe
 
 def layout(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Range-partition and sort for the file layout: rows of one table partition and nearby layout
-    values end in the same files (clustering columns win over sort columns)."""
+    values end in the same files (clustering columns win over sort columns). The keys come last, so
+    that rows of one layout value can be split too."""
     cols = ([spec.partition] if spec.partition else []) + [c for c in spec.layout_cols if c in df.columns]
     if not cols:
         return df
-    return df.repartitionByRange(*[F.col(c) for c in cols]).sortWithinPartitions(*cols)
-
-
-def _writer(df: DataFrame, spec: TableSpec):
-    w = df.write.format(spec.format)
-    opts = dict(spec.writer_options)
-    if opts:
-        w = w.options(**opts)
-    if spec.partition:
-        w = w.partitionBy(spec.partition)
-    return w
-
-
-def write_table(df: DataFrame, spec: TableSpec, path: str, mode: str = "overwrite", dynamic: bool = False) -> None:
-    """Write with layout; ``dynamic`` replaces only the partitions present in ``df``."""
-    w = _writer(layout(df, spec), spec).mode(mode)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.save(path)
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
-
-def _partition_dir(value) -> str:
-    if value is None:
-        return "__HIVE_DEFAULT_PARTITION__"
-    return str(value)
-
-
-def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable) -> None:
-    fs, jvm = _fs(spark, path)
-    for v in values:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={_partition_dir(v)}"), True)
-
-
-def touched_scope(current: DataFrame, part: str, touched: DataFrame, n_touched: int) -> DataFrame:
-    """Stored rows of the touched partitions only.
-
-    Up to ``PRUNE_LITERALS`` partitions the values (a measured, bounded list) become a literal
-    partition filter, so untouched folders are never read. A null partition value joins the scope
-    explicitly, because neither ``IN`` nor an equi join matches null.
-    """
-    valued = touched.filter(F.col(part).isNotNull())
-    if n_touched <= PRUNE_LITERALS:
-        values = [r[0] for r in valued.collect()]
-        scope = current.filter(F.col(part).isin(values))
-    else:
-        side = F.broadcast(valued) if n_touched <= BROADCAST_PARTITIONS else valued
-        scope = current.join(side, part, "left_semi")
-    if not touched.filter(F.col(part).isNull()).isEmpty():
-        scope = scope.unionByName(current.filter(F.col(part).isNull()))
-    return scope
+    cols += [k for k in spec.keys if k not in cols]
+    return df.repartitionByRange(*[F.col(f"`{c}`") for c in cols]).sortWithinPartitions(*[F.col(f"`{c}`") for c in cols])
+
+
+def _size_on_disk(spark: SparkSession, path: str) -> int:
+    fs, p = V.filesystem(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def file_rows(bytes_on_disk: int, rows: int, target: int = MAX_FILE_BYTES) -> int:
+    """Rows per file that keep files at or below ``target`` bytes, from measured bytes per row."""
+    return max(1, int(target * max(rows, 1) / max(bytes_on_disk, 1)))
+
+
+def write_version(
+    spark: SparkSession, df: DataFrame, spec: TableSpec, path: str, last: Optional[V.Version],
+    touched: Optional[set[str]] = None, rows_per_file: Optional[int] = None,
+) -> tuple[V.Version, int]:
+    """Write rows to new folders and commit: they replace the partitions in ``touched`` (all, if None)."""
+    counted = Observation()
+    options = dict(spec.writer_options)
+    if rows_per_file:
+        options.setdefault("maxRecordsPerFile", str(rows_per_file))
+    laid = layout(df, spec).observe(counted, F.count(F.lit(1)).alias("rows"))
+    written = V.write_folders(laid, path, uuid.uuid4().hex, spec.partition, options)
+    before = last.folders if last else {}
+    kept = {} if touched is None else {k: f for k, f in before.items() if k not in touched}
+    version = V.Version(last.number + 1 if last else 1, df.schema, {**kept, **written}, [f for f in before.values() if f not in kept.values()], spec.partition)
+    V.commit(spark, path, version)
+    if last:
+        root = path.rstrip("/")
+        V.remove(spark, [f"{root}/{f}" for f in last.retired])
+        V.remove(spark, [f"{root}/_versions/{n}" for n in V.folder_names(spark, f"{root}/_versions") if n.isdigit() and int(n) < last.number])
+    return version, counted.get["rows"] if written else 0
+
+
+def _touched(spark: SparkSession, version: V.Version, path: str, latest: DataFrame, keys: list[str], broadcast: bool) -> set[str]:
+    """Partition values that batch rows go to or that hold a batch key; at most the table's
+    partitions and the batch's, which the version record lists as well."""
+    mine = latest.select(V.dir_value(latest, version.partition).alias(V.DIR)).distinct()
+    stored = V.frame(spark, path, version)
+    first = F.col(f"`{keys[0]}`")
+    ends = latest.agg(F.min(first).alias("low"), F.max(first).alias("high")).first()
+    if ends.low is not None:
+        stored = stored.filter(first.between(F.lit(ends.low), F.lit(ends.high)))
+    side = latest.select(*keys)
+    holding = (
+        stored.select(*[F.col(f"`{k}`") for k in keys], V.dir_value(stored, version.partition).alias(V.DIR))
+        .join(F.broadcast(side) if broadcast else side, keys, "left_semi").select(V.DIR)
+    )
+    return {r[0] for r in mine.union(holding).distinct().collect()}
 
 
 def merge_into(
@@ -134,77 +124,80 @@ def merge_into(
     spec: TableSpec,
     path: str,
     full_refresh: bool = False,
-    broadcast_rows: int = BROADCAST_BATCH_ROWS,
+    broadcast_bytes: int = BROADCAST_BATCH_BYTES,
 ) -> MergeResult:
     """Merge one prepared change batch into the table stored at ``path``."""
+    if spec.format != "parquet":
+        raise ValueError(f"{spec.name}: tables in format {spec.format!r} are merged by that format's own writer")
+    apply_engine_conf(spark)
     checkpoint_root(spark)
     keys = list(spec.keys)
     clean = changes.filter(F.col("op_type").isNotNull())
     for k in keys:
         clean = clean.filter(F.col(f"`{k}`").isNotNull())
-    by_images = spec.partition is not None and PREV_PARTITION in clean.columns
-    if by_images:
-        # Every partition a batch row came from or goes to; one small distinct frame.
-        moved_from = clean.filter(F.col("op_type").isin("U", "D")).select(F.col(PREV_PARTITION))
-        imaged = clean.select(F.col(spec.partition)).union(moved_from).distinct()
-        imaged = imaged.checkpoint(eager=True)
-        clean = clean.drop(PREV_PARTITION)
-    latest = latest_per_key(clean, keys, spec.ordering, deletes_win=spec.merge_mode == UPSERT_THEN_DELETE).checkpoint(eager=True)
-    n_keys = latest.count()
-    small = n_keys <= broadcast_rows
-
-    if n_keys == 0 and not full_refresh:
-        # Nothing to apply: no write, the stored table stays as it is.
-        return MergeResult(spec.name, 0, 0, 0, False)
-    current = None if full_refresh else table_if_exists(spark, path, spec.format)
-    if current is None:
-        merged = merge_latest(None, latest, keys, spec.ordering, spec.late_policy, spec.keep_tombstones)
-        merged = merged.checkpoint(eager=True)
-        write_table(merged, spec, path, mode="overwrite")
-        return MergeResult(spec.name, n_keys, None, merged.count(), True)
-
-    touched = None
-    if spec.partition:
-        part = spec.partition
-        if by_images:
-            touched = imaged
-        else:
-            # Partitions that hold a batch key today: a two-column scan of the stored keys.
-            key_side = F.broadcast(latest.select(*keys)) if small else latest.select(*keys)
-            holding = current.select(*keys, part).join(key_side, keys, "left_semi").select(part)
-            touched = latest.select(part).union(holding).distinct().checkpoint(eager=True)
-        n_touched = touched.count()
-        scope = touched_scope(current, part, touched, n_touched)
-    else:
-        n_touched = None
-        scope = current
-
-    merged = merge_latest(scope, latest, keys, spec.ordering, spec.late_policy, spec.keep_tombstones, broadcast_batch=small)
-    merged = merged.checkpoint(eager=True)
-    rows = merged.count()
-    if spec.partition:
-        write_table(merged, spec, path, mode="overwrite", dynamic=True)
-        present = merged.select(F.col(spec.partition).alias("_present")).distinct()
-        emptied = touched.join(present, touched[spec.partition].eqNullSafe(present["_present"]), "left_anti")
-        # Bounded by the touched-partition count (measured above).
-        gone = [r[0] for r in emptied.collect()]
-        if gone:
-            drop_partitions(spark, path, spec.partition, gone)
-    else:
-        write_table(merged, spec, path, mode="overwrite")
-    return MergeResult(spec.name, n_keys, n_touched, rows, spec.partition is None)
-
-
-def register_table(spark: SparkSession, name: str, path: str, spec: Optional[TableSpec] = None, fmt: str = "parquet") -> DataFrame:
-    """Publish a stored table under a catalog name (schema and partitions taken from the files)."""
-    fmt = spec.format if spec is not None else fmt
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
-    if spec is not None and spec.partition:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-    spark.catalog.refreshTable(name)
+    staged, counted = scratch_path(spark, f"batch-{spec.name}"), Observation()
+    latest_per_key(clean, keys, spec.ordering, deletes_win=spec.merge_mode == UPSERT_THEN_DELETE).observe(
+        counted, F.count(F.lit(1)).alias("keys")
+    ).write.parquet(staged)
+    try:
+        n_keys, size = counted.get["keys"], _size_on_disk(spark, staged)
+        latest = spark.read.schema(latest_schema(clean, spec)).parquet(staged)
+        if n_keys == 0 and not full_refresh:
+            # Nothing to apply: no write, the stored table stays as it is.
+            return MergeResult(spec.name, 0, 0, 0, False)
+        last, small = V.load(spark, path), size <= broadcast_bytes
+        per_file = file_rows(size, n_keys)
+        if last is None or full_refresh:
+            merged = merge_latest(None, latest, keys, spec.ordering, spec.late_policy, spec.keep_tombstones)
+            _, rows = write_version(spark, merged, spec, path, last, None, per_file)
+            return MergeResult(spec.name, n_keys, None, rows, True)
+        touched = {V.WHOLE} if spec.partition is None else _touched(spark, last, path, latest, keys, small)
+        scope = V.frame(spark, path, last, touched)
+        merged = merge_latest(scope, latest, keys, spec.ordering, spec.late_policy, spec.keep_tombstones, broadcast_batch=small)
+        _, rows = write_version(spark, merged, spec, path, last, touched, per_file)
+        return MergeResult(spec.name, n_keys, None if spec.partition is None else len(touched), rows, spec.partition is None)
+    finally:
+        V.remove(spark, [staged])
+
+
+def latest_schema(changes: DataFrame, spec: TableSpec):
+    return latest_per_key(changes, list(spec.keys), spec.ordering, deletes_win=spec.merge_mode == UPSERT_THEN_DELETE).schema
+
+
+def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Publish the current version of a stored table under a catalog name.
+
+    The catalog entry is made anew each time (files stay where they are), so later columns and
+    partitions show; partitions point to the folders of the version."""
+    version = V.load(spark, path)
+    if version is None:
+        raise ValueError(f"no table at {path}")
+    root, part = path.rstrip("/"), version.partition
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if part is None:
+        spark.catalog.createTable(name, path=f"{root}/{version.folders[V.WHOLE]}" if version.folders else f"{root}/data/none", source="parquet", schema=version.schema)
+        return spark.table(name)
+    columns = [f for f in version.schema.fields if f.name != part] + [version.schema[part]]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet PARTITIONED BY (`{part}`) LOCATION '{root}/data'")
+    values = {k: "NULL" if k == V.NULL else _quoted(_value(k)) for k in version.folders}
+    folders = list(version.folders.items())
+    for at in range(0, len(folders), 500):
+        clauses = " ".join(f"PARTITION (`{part}`={values[k]}) LOCATION '{root}/{f}'" for k, f in folders[at : at + 500])
+        spark.sql(f"ALTER TABLE {name} ADD {clauses}")
     return spark.table(name)
 
 
+def _quoted(text: str) -> str:
+    """A SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _value(directory: str) -> str:
+    """The partition value behind a folder name."""
+    return bytes.fromhex(directory[1:]).decode() if directory.startswith("x") else directory
+
+
 def export_partitions(
     df: DataFrame,
     client_factory: Callable[[], object],

@@ -1,0 +1,102 @@
+"""Stored tables as immutable folders and a record that says which folders are current.
+
+``<path>/data/<write>/<_p=value>/part-*`` holds the rows of one partition as one write left them;
+files are never changed. ``<path>/_versions/<n>`` is a one-row parquet data set written by Spark:
+the table's schema, the folder of each partition, and folders that the version before still used.
+A version counts once its success marker is there, so readers see a commit as a whole or not at
+all, and a run that dies before its commit leaves the old table as it was.
+
+The record has one entry per partition; it is what the driver lists of a partitioned table anyway.
+"""
+
+from __future__ import annotations
+
+import json
+from dataclasses import dataclass, field
+from typing import Iterable, Optional
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, IntegralType, StructType
+
+DIR = "_p"
+WHOLE = "all"
+NULL = "null"
+_RECORD = "schema string, folders string, retired string, partition string"
+
+
+@dataclass
+class Version:
+    number: int
+    schema: StructType
+    folders: dict[str, str]
+    retired: list[str] = field(default_factory=list)
+    partition: Optional[str] = None
+
+
+def filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of a path and the path as it wants it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = filesystem(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        fs, p = filesystem(spark, path)
+        fs.delete(p, True)
+
+
+def dir_value(df: DataFrame, partition: Optional[str]) -> Column:
+    """The folder name of a row's partition: plain for dates, numbers and booleans, hex digits for
+    any other text, so that no value needs escaping or reads back as another type."""
+    if partition is None:
+        return F.lit(WHOLE)
+    c, kind = F.col(f"`{partition}`"), df.schema[partition].dataType
+    plain = c.cast("string") if isinstance(kind, (DateType, IntegralType, BooleanType)) else F.concat(F.lit("x"), F.hex(c.cast("string")))
+    return F.coalesce(plain, F.lit(NULL))
+
+
+def load(spark: SparkSession, path: str) -> Optional[Version]:
+    """The newest committed version, or None where there is no table."""
+    root = f"{path.rstrip('/')}/_versions"
+    for number in sorted((int(n) for n in folder_names(spark, root) if n.isdigit()), reverse=True):
+        fs, done = filesystem(spark, f"{root}/{number}/_SUCCESS")
+        if fs.exists(done):
+            r = spark.read.schema(_RECORD).parquet(f"{root}/{number}").first()
+            return Version(number, StructType.fromJson(json.loads(r.schema)), json.loads(r.folders), json.loads(r.retired), r.partition)
+    return None
+
+
+def commit(spark: SparkSession, path: str, version: Version) -> None:
+    """Publish a version; then remove what only versions before the last one used."""
+    root = path.rstrip("/")
+    row = (version.schema.json(), json.dumps(version.folders), json.dumps(version.retired), version.partition)
+    spark.createDataFrame([row], _RECORD).coalesce(1).write.mode("overwrite").parquet(f"{root}/_versions/{version.number}")
+
+
+def write_folders(df: DataFrame, path: str, write: str, partition: Optional[str], options: Optional[dict] = None) -> dict[str, str]:
+    """Write rows below a new folder, one sub-folder per partition; the folders by partition value.
+
+    Nobody reads the folder before it is committed, so tasks may move their files in at once."""
+    target = f"{path.rstrip('/')}/data/{write}"
+    (
+        df.withColumn(DIR, dir_value(df, partition)).write.options(**(options or {}))
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(DIR).parquet(target)
+    )
+    names = [n for n in folder_names(df.sparkSession, target) if n.startswith(f"{DIR}=")]
+    return {n[len(DIR) + 1 :]: f"data/{write}/{n}" for n in names}
+
+
+def frame(spark: SparkSession, path: str, version: Version, only: Optional[Iterable[str]] = None) -> DataFrame:
+    """Rows of a version, of the given partitions only if ``only`` is not None. Columns that older
+    files lack read as null."""
+    picked = version.folders if only is None else {k: version.folders[k] for k in only if k in version.folders}
+    if not picked:
+        return spark.createDataFrame([], version.schema)
+    return spark.read.schema(version.schema).parquet(*[f"{path.rstrip('/')}/{f}" for f in picked.values()])

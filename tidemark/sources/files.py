@@ -7,15 +7,16 @@ file metadata is read.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from typing import Iterable, Optional
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidemark.operators.ordinal import running
-from tidemark.spec import CHANGE_PREFIX, SNAPSHOT_PREFIX
+from tidemark.spec import CHANGE_PREFIX, LOCAL_ZONE, SNAPSHOT_PREFIX, name_list
 
 SNAPSHOT = "snapshot"
 CHANGE = "change"
@@ -27,11 +28,23 @@ def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"[^/]+$", 0)
 
 
-def day_folders(from_time: datetime, to_time: datetime, slack_days: int = 0) -> list[str]:
+def as_utc(v) -> datetime:
+    """A time with its zone; text, dates and times without a zone are UTC."""
+    if not isinstance(v, datetime):
+        v = datetime(v.year, v.month, v.day) if isinstance(v, date) else datetime.fromisoformat(str(v))
+    return v.replace(tzinfo=timezone.utc) if v.tzinfo is None else v.astimezone(timezone.utc)
+
+
+def folder_days(from_time, to_time, slack_days: int = 0, zone: str = LOCAL_ZONE) -> tuple[date, date]:
+    """First and last day folder of a window: folders carry the day of the source's own zone."""
+    first, last = (as_utc(t).astimezone(ZoneInfo(zone)).date() for t in (from_time, to_time))
+    return first - timedelta(days=slack_days), last + timedelta(days=slack_days)
+
+
+def day_folders(from_time, to_time, slack_days: int = 0, zone: str = LOCAL_ZONE) -> list[str]:
     """Day folder names (``YYYY-MM-DD``) between two times, both ends included."""
-    d0 = from_time.date() - timedelta(days=slack_days)
-    d1 = to_time.date() + timedelta(days=slack_days)
-    return [(d0 + timedelta(days=i)).isoformat() for i in range((d1 - d0).days + 1)]
+    first, last = folder_days(from_time, to_time, slack_days, zone)
+    return [(first + timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
 
 
 def list_files(
@@ -40,12 +53,13 @@ def list_files(
     from_time: Optional[datetime] = None,
     to_time: Optional[datetime] = None,
     slack_days: int = 0,
+    zone: str = LOCAL_ZONE,
 ) -> DataFrame:
     """List files below ``root`` (``root/<YYYY-MM-DD>/...``). Only day folders of the window are
     looked into when both bounds are given; content is never read."""
     root = root.rstrip("/")
     if from_time is not None and to_time is not None:
-        days = day_folders(from_time, to_time, slack_days)
+        days = day_folders(from_time, to_time, slack_days, zone)
         target = f"{root}/{{{','.join(days)}}}" if len(days) > 1 else f"{root}/{days[0]}"
     else:
         target = root
@@ -76,7 +90,7 @@ def classify(files: DataFrame, snapshot_prefix: str = SNAPSHOT_PREFIX, change_pr
     holds a part file); files with any other name are dropped."""
     name = F.col("file_name")
     # A data set written by Spark is a folder of part files: the folder carries the name.
-    folder = F.regexp_extract(F.col("path"), r"([^/]+)/[^/]+$", 1)
+    folder = F.regexp_extract(F.col("path"), r"([^/]+)/part-[^/]+$", 1)
     kind = (
         F.when(name.startswith(snapshot_prefix), F.lit(SNAPSHOT))
         .when(name.startswith(change_prefix), F.lit(CHANGE))
@@ -87,10 +101,10 @@ def classify(files: DataFrame, snapshot_prefix: str = SNAPSHOT_PREFIX, change_pr
 
 
 def _ts(v) -> Column:
-    return F.lit(v).cast("timestamp")
+    return F.lit(as_utc(v)).cast("timestamp")
 
 
-def select_window(files: DataFrame, from_time=None, to_time=None, slack_days: int = 0) -> DataFrame:
+def select_window(files: DataFrame, from_time=None, to_time=None, slack_days: int = 0, zone: str = LOCAL_ZONE) -> DataFrame:
     """Files with ``from <= mtime <= to`` (both ends included).
 
     With both bounds only day folders between the two dates (widened by ``slack_days``) count and
@@ -98,11 +112,10 @@ def select_window(files: DataFrame, from_time=None, to_time=None, slack_days: in
     """
     cond = F.lit(True)
     if from_time is not None and to_time is not None:
-        if _as_dt(to_time) <= _as_dt(from_time):
+        if as_utc(to_time) <= as_utc(from_time):
             return files.limit(0)
-        d0 = _as_dt(from_time).date() - timedelta(days=slack_days)
-        d1 = _as_dt(to_time).date() + timedelta(days=slack_days)
-        cond = F.col("day").between(F.lit(d0), F.lit(d1))
+        first, last = folder_days(from_time, to_time, slack_days, zone)
+        cond = F.col("day").between(F.lit(first), F.lit(last))
     if from_time is not None:
         cond = cond & (F.col("mtime") >= _ts(from_time))
     if to_time is not None:
@@ -110,14 +123,6 @@ def select_window(files: DataFrame, from_time=None, to_time=None, slack_days: in
     return files.filter(cond)
 
 
-def _as_dt(v) -> datetime:
-    if isinstance(v, datetime):
-        return v
-    if isinstance(v, date):
-        return datetime(v.year, v.month, v.day)
-    return datetime.fromisoformat(str(v))
-
-
 def order_files(files: DataFrame) -> DataFrame:
     """Files in arrival order; the path breaks ties so the order is total."""
     return files.orderBy(*ORDER)
@@ -133,12 +138,9 @@ def batch_files(files: DataFrame, size: int) -> DataFrame:
 
 def special_files(names: Iterable[str]) -> Column:
     """Files named in a configuration list (full path or base name; ``,`` or ``;`` separated)."""
-    wanted: set[str] = set()
-    for item in names:
-        wanted |= {p.strip() for p in str(item).replace(";", ",").split(",") if p.strip()}
-    if not wanted:
+    lst = sorted({name for item in names for name in name_list(item)})
+    if not lst:
         return F.lit(False)
-    lst = sorted(wanted)
     return F.col("path").isin(lst) | F.col("file_name").isin(lst)
 
 
@@ -149,20 +151,18 @@ def batch_files_isolated(files: DataFrame, size: int, special: Column) -> DataFr
     """
     if size < 1:
         raise ValueError("batch size must be >= 1")
+    # The place of a special file starts a new count after it, so a batch begins where its distance to
+    # the last special file says so. Ordinal and last special file come from one staged order; what is
+    # left is a running count of the batch starts over the same order.
     flagged = files.withColumn("_special", special.cast("boolean"))
     base = running(flagged, ORDER)
-    marked = running(
-        base,
-        ORDER,
-        maxes={"_last_special": F.when(F.col("_special"), F.col("ordinal"))},
-        ordinal=None,
-    )
+    marked = running(base, ["ordinal"], maxes={"_last_special": F.when(F.col("_special"), F.col("ordinal"))}, ordinal=None)
     last = F.col("_last_special")
     island_start = F.when(last.isNull(), F.lit(0)).otherwise(last + 1)
     pos = F.col("ordinal") - island_start
     start = F.when(F.col("_special"), F.col("ordinal")).otherwise(island_start + F.floor(pos / size) * size)
     starts = marked.withColumn("batch_start", start.cast("bigint"))
-    numbered = running(starts, ORDER, sums={"_n_batches": (F.col("ordinal") == F.col("batch_start")).cast("bigint")}, ordinal=None)
+    numbered = running(starts, ["ordinal"], sums={"_n_batches": (F.col("ordinal") == F.col("batch_start")).cast("bigint")}, ordinal=None)
     return numbered.select(
         *[c for c in files.columns],
         "ordinal",
@@ -175,10 +175,10 @@ def retry_floor(files: DataFrame, failed: DataFrame, common_from=None, to_time=N
     """Per-table windows: a table listed in ``failed`` (``table_name, failed_from``) starts at its own
     ``failed_from`` (null = from the beginning); other tables start at ``common_from``.
 
-    ``failed`` has one row per table, so it is broadcast; the file list is never shuffled.
+    ``failed`` has one row per table; AQE broadcasts it by its measured size, so the file list is not shuffled.
     """
     f = failed.select("table_name", F.col("failed_from").cast("timestamp").alias("_failed_from"), F.lit(True).alias("_failed"))
-    j = files.join(F.broadcast(f), "table_name", "left")
+    j = files.join(f, "table_name", "left")
     lower = F.when(F.col("_failed").isNotNull(), F.col("_failed_from")).otherwise(
         _ts(common_from) if common_from is not None else F.lit(None).cast("timestamp")
     )
@@ -191,7 +191,7 @@ def retry_floor(files: DataFrame, failed: DataFrame, common_from=None, to_time=N
 def force_select(files: DataFrame, names: str, from_time=None, to_time=None) -> DataFrame:
     """Files of the named tables (``,``/``;`` separated, any case, optional ``_etl`` suffix) from
     ``from_time`` (or the beginning) up to ``to_time``; unknown names match nothing."""
-    wanted = sorted({p.strip().lower() for p in (names or "").replace(";", ",").split(",") if p.strip()})
+    wanted = sorted({name.lower() for name in name_list(names)})
     base = {w[:-4] if w.endswith("_etl") else w for w in wanted}
     cond = F.lower(F.col("table_name")).isin(sorted(base | set(wanted))) if wanted else F.lit(False)
     if from_time is not None:

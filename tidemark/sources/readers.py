@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 from pyspark.sql.utils import AnalysisException
 
 from tidemark.operators.envelope import align_union
+from tidemark.sinks import versions as V
 
 ORDERING_COLS = ("op_ts", "current_ts")
 
@@ -23,6 +24,9 @@ def _reader(spark: SparkSession, fmt: str, schema: Optional[StructType] = None,
     r = spark.read.format(fmt)
     if schema is not None:
         r = r.schema(schema)
+    elif fmt == "parquet":
+        # Files may have landed before and after a column was added: take the columns of all of them.
+        r = r.option("mergeSchema", "true")
     if options:
         r = r.options(**options)
     return r
@@ -72,10 +76,14 @@ def read_envelope(
 
 
 def read_table(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame:
-    """A stored table by path (or by catalog name when ``location`` has no ``/``)."""
+    """A stored table by path (or by catalog name when ``location`` has no ``/``): its current version,
+    with its own schema, or a plain folder of files with the columns of all of them."""
     if "/" not in location and ":" not in location:
         return spark.table(location)
-    return spark.read.format(fmt).load(location)
+    version = V.load(spark, location)
+    if version is not None:
+        return V.frame(spark, location, version)
+    return _reader(spark, fmt).load(location)
 
 
 def _not_found(e: Exception) -> bool:

@@ -29,11 +29,8 @@ LOCAL_ZONE = "Asia/Ho_Chi_Minh"
 SHIFT_HOURS = 7
 # Lowest timestamp kept in silver tables.
 CLAMP_LOW = "0001-01-01 00:00:00"
-# Target file sizes (bytes).
+# Largest target file size (bytes).
 MAX_FILE_BYTES = 60 * 1024 * 1024
-SMALL_FILE_BYTES = 50 * 1024 * 1024
-CLUSTER_TARGET_BYTES = 125829120
-CLUSTER_SMALL_BYTES = 104857600
 # Rows per commit when exporting to a relational database.
 EXPORT_BATCH_ROWS = 5000
 
@@ -67,9 +64,6 @@ class TableSpec:
     partial_after: bool = False
     split_key_change: bool = False  # an update that changes the key deletes the old key
     lookup_key: Optional[str] = None  # e.g. customer code checked against a map table
-    # Find the partitions a batch touches from the before-images of its rows instead of scanning the
-    # stored keys. Exact only when every change to an existing key carries a full before-image.
-    locate_by_images: bool = False
     format: str = "parquet"
     post: Optional[Callable[[DataFrame], DataFrame]] = None
     writer_options: dict = field(default_factory=dict)
@@ -93,6 +87,11 @@ class TableSpec:
         return base | {f"{n}_etl" for n in base}
 
 
+def name_list(names: str | None) -> list[str]:
+    """Names of a list separated by ``,`` or ``;``, blanks around them dropped."""
+    return [n for part in str(names or "").split(";") for n in map(str.strip, part.split(",")) if n]
+
+
 _REGISTRY: dict[str, TableSpec] = {}
 
 
@@ -111,7 +110,5 @@ def resolve_tables(names: str | None, specs: dict[str, TableSpec] | None = None)
     Unknown names are ignored; each table is returned once, in registry order.
     """
     specs = _REGISTRY if specs is None else specs
-    if not names:
-        return []
-    wanted = {p.strip().lower() for p in names.replace(";", ",").split(",") if p.strip()}
+    wanted = {n.lower() for n in name_list(names)}
     return [s for s in specs.values() if s.names() & wanted]
