@@ -17,18 +17,20 @@ import time
 import uuid
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
-from typing import Iterable, Mapping, Optional
+from typing import Callable, Iterable, Mapping, Optional
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import prepare_changes
 from tidemark.operators.envelope import observe_ops
-from tidemark.sinks.tables import merge_into
+from tidemark.operators.keymaps import register_unknown
+from tidemark.sinks import versions as V
+from tidemark.sinks.tables import export_partitions, merge_into
 from tidemark.sources import files as FS
-from tidemark.sources.readers import read_envelope, table_if_exists
+from tidemark.sources.readers import path_exists, read_envelope, read_table, table_if_exists
 from tidemark.session import apply_engine_conf
-from tidemark.spec import LOCAL_ZONE, TableSpec, resolve_tables
+from tidemark.spec import LOCAL_ZONE, OP_DELETE, TableSpec, resolve_tables
 
 METRICS_SCHEMA = (
     "run_id string, table_name string, started_at timestamp, seconds double, batches bigint, rows_in bigint, "
@@ -70,6 +72,32 @@ class Source:
     slack_days: int = 0
     zone: str = LOCAL_ZONE  # whose days name the folders
     options: dict = field(default_factory=dict)
+    lookup: Optional["KeyLookup"] = None
+
+
+@dataclass
+class KeyLookup:
+    """The stored map that ``TableSpec.lookup_key`` is checked against: new keys of a batch are added.
+
+    ``client``, if given, also gets them row by row per partition (``export_partitions``)."""
+
+    path: str
+    salt: str
+    client: Optional[Callable[[], object]] = None
+
+
+def register_keys(spark: SparkSession, changes: DataFrame, spec: TableSpec, lookup: KeyLookup) -> None:
+    """Add keys of the upserts that the map lacks. Surrogates follow from the key, so a repeated batch adds none."""
+    known = read_table(spark, lookup.path) if path_exists(spark, lookup.path) else None
+    batch = changes.filter(F.col("op_type") != OP_DELETE)
+    if known is None:
+        known = spark.createDataFrame([], batch.select(spec.lookup_key).schema)
+    new = register_unknown(batch, known, spec.lookup_key, lookup.salt).checkpoint(eager=True)
+    if new.isEmpty():
+        return
+    if lookup.client is not None:
+        export_partitions(new, lookup.client)
+    V.append(spark, new, lookup.path)
 
 
 def plan_batches(files: DataFrame, source: Source) -> DataFrame:
@@ -121,6 +149,8 @@ def _run_files(spark, spec, source, target, from_time, to_time, full_refresh, re
         env = read_envelope(spark, snaps, changes, source.fmt, strict=False, options=source.options)
         if env is None:
             continue
+        if spec.lookup_key and source.lookup is not None:
+            register_keys(spark, prepare_changes(env, spec), spec, source.lookup)
         env, ops = observe_ops(env, f"ops_{run_id}_{spec.name}_{batch_id}")
         prepared = prepare_changes(env, spec)
         accepted = Observation(f"ok_{run_id}_{spec.name}_{batch_id}")

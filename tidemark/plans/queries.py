@@ -691,3 +691,6 @@ def stream_merge(spark, sf_dir):
     q = stream_table(spark, CASH_TRANSACTIONS, stream, target, scratch_path(spark, "cash-stream-ckpt"))
     q.awaitTermination()
     return comparable(read_table(spark, target).select(*CASH_COLS))
+
+
+from tidemark.plans import stored_queries  # noqa: E402, F401 - registers its queries here

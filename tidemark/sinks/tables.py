@@ -61,12 +61,15 @@ def merge_frames(stored: Optional[DataFrame], changes: DataFrame, spec: TableSpe
 def layout(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Range-partition and sort for the file layout: rows of one table partition and nearby layout
     values end in the same files (clustering columns win over sort columns). The keys come last, so
-    that rows of one layout value can be split too."""
+    that rows of one layout value can be split too. The number of ranges is that of the session's
+    shuffle partitions: left to AQE, a small batch over many table partitions would be one task that
+    writes all their files one after the other."""
     cols = ([spec.partition] if spec.partition else []) + [c for c in spec.layout_cols if c in df.columns]
     if not cols:
         return df
     cols += [k for k in spec.keys if k not in cols]
-    return df.repartitionByRange(*[F.col(f"`{c}`") for c in cols]).sortWithinPartitions(*[F.col(f"`{c}`") for c in cols])
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *[F.col(f"`{c}`") for c in cols]).sortWithinPartitions(*[F.col(f"`{c}`") for c in cols])
 
 
 def _size_on_disk(spark: SparkSession, path: str) -> int:
@@ -96,16 +99,15 @@ def write_version(
     V.commit(spark, path, version)
     if last:
         root = path.rstrip("/")
-        V.remove(spark, [f"{root}/{f}" for f in last.retired])
+        V.remove(spark, [f"{root}/data/{f}" for f in last.retired])
         V.remove(spark, [f"{root}/_versions/{n}" for n in V.folder_names(spark, f"{root}/_versions") if n.isdigit() and int(n) < last.number])
     return version, counted.get["rows"] if written else 0
 
 
-def _touched(spark: SparkSession, version: V.Version, path: str, latest: DataFrame, keys: list[str], broadcast: bool) -> set[str]:
+def _touched(stored: DataFrame, version: V.Version, latest: DataFrame, keys: list[str], broadcast: bool) -> set[str]:
     """Partition values that batch rows go to or that hold a batch key; at most the table's
     partitions and the batch's, which the version record lists as well."""
     mine = latest.select(V.dir_value(latest, version.partition).alias(V.DIR)).distinct()
-    stored = V.frame(spark, path, version)
     first = F.col(f"`{keys[0]}`")
     ends = latest.agg(F.min(first).alias("low"), F.max(first).alias("high")).first()
     if ends.low is not None:
@@ -151,8 +153,12 @@ def merge_into(
             merged = merge_latest(None, latest, keys, spec.ordering, spec.late_policy, spec.keep_tombstones)
             _, rows = write_version(spark, merged, spec, path, last, None, per_file)
             return MergeResult(spec.name, n_keys, None, rows, True)
-        touched = {V.WHOLE} if spec.partition is None else _touched(spark, last, path, latest, keys, small)
-        scope = V.frame(spark, path, last, touched)
+        stored = V.listed(spark, path, last) if last.folders else None
+        if spec.partition is None:
+            touched = {V.WHOLE, *last.folders}
+        else:
+            touched = _touched(V.frame(spark, path, last, rows=stored), last, latest, keys, small)
+        scope = V.frame(spark, path, last, touched, rows=stored)
         merged = merge_latest(scope, latest, keys, spec.ordering, spec.late_policy, spec.keep_tombstones, broadcast_batch=small)
         _, rows = write_version(spark, merged, spec, path, last, touched, per_file)
         return MergeResult(spec.name, n_keys, None if spec.partition is None else len(touched), rows, spec.partition is None)
@@ -175,7 +181,7 @@ def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     root, part = path.rstrip("/"), version.partition
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     if part is None:
-        spark.catalog.createTable(name, path=f"{root}/{version.folders[V.WHOLE]}" if version.folders else f"{root}/data/none", source="parquet", schema=version.schema)
+        spark.catalog.createTable(name, path=f"{root}/data/{version.folders[V.WHOLE]}" if version.folders else f"{root}/data/none", source="parquet", schema=version.schema)
         return spark.table(name)
     columns = [f for f in version.schema.fields if f.name != part] + [version.schema[part]]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
@@ -183,7 +189,7 @@ def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     values = {k: "NULL" if k == V.NULL else _quoted(_value(k)) for k in version.folders}
     folders = list(version.folders.items())
     for at in range(0, len(folders), 500):
-        clauses = " ".join(f"PARTITION (`{part}`={values[k]}) LOCATION '{root}/{f}'" for k, f in folders[at : at + 500])
+        clauses = " ".join(f"PARTITION (`{part}`={values[k]}) LOCATION '{root}/data/{f}'" for k, f in folders[at : at + 500])
         spark.sql(f"ALTER TABLE {name} ADD {clauses}")
     return spark.table(name)
 

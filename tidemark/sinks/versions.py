@@ -1,6 +1,6 @@
 """Stored tables as immutable folders and a record that says which folders are current.
 
-``<path>/data/<write>/<_p=value>/part-*`` holds the rows of one partition as one write left them;
+``<path>/data/_w=<write>/_p=<value>/part-*`` holds the rows of one partition as one write left them;
 files are never changed. ``<path>/_versions/<n>`` is a one-row parquet data set written by Spark:
 the table's schema, the folder of each partition, and folders that the version before still used.
 A version counts once its success marker is there, so readers see a commit as a whole or not at
@@ -12,14 +12,15 @@ The record has one entry per partition; it is what the driver lists of a partiti
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 from typing import Iterable, Optional
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, IntegralType, StructType
+from pyspark.sql.types import BooleanType, DateType, IntegralType, StringType, StructField, StructType
 
-DIR = "_p"
+DIR, WRITE = "_p", "_w"
 WHOLE = "all"
 NULL = "null"
 _RECORD = "schema string, folders string, retired string, partition string"
@@ -84,19 +85,39 @@ def write_folders(df: DataFrame, path: str, write: str, partition: Optional[str]
     """Write rows below a new folder, one sub-folder per partition; the folders by partition value.
 
     Nobody reads the folder before it is committed, so tasks may move their files in at once."""
-    target = f"{path.rstrip('/')}/data/{write}"
+    target = f"{path.rstrip('/')}/data/{WRITE}={write}"
     (
         df.withColumn(DIR, dir_value(df, partition)).write.options(**(options or {}))
         .option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(DIR).parquet(target)
     )
     names = [n for n in folder_names(df.sparkSession, target) if n.startswith(f"{DIR}=")]
-    return {n[len(DIR) + 1 :]: f"data/{write}/{n}" for n in names}
+    return {n[len(DIR) + 1 :]: f"{WRITE}={write}/{n}" for n in names}
 
 
-def frame(spark: SparkSession, path: str, version: Version, only: Optional[Iterable[str]] = None) -> DataFrame:
+def listed(spark: SparkSession, path: str, version: Version) -> DataFrame:
+    """All rows below the table's data folder with the columns of their folder; lists the folders once."""
+    schema = StructType([*version.schema.fields, StructField(WRITE, StringType()), StructField(DIR, StringType())])
+    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/data")
+
+
+def frame(spark: SparkSession, path: str, version: Version, only: Optional[Iterable[str]] = None, rows: Optional[DataFrame] = None) -> DataFrame:
     """Rows of a version, of the given partitions only if ``only`` is not None. Columns that older
-    files lack read as null."""
-    picked = version.folders if only is None else {k: version.folders[k] for k in only if k in version.folders}
+    files lack read as null. Folders are picked by a filter on the folder columns, so files of other
+    partitions and of other versions are pruned, not read. ``rows``: what ``listed`` gave before."""
+    picked = list(version.folders.values()) if only is None else [version.folders[k] for k in only if k in version.folders]
     if not picked:
         return spark.createDataFrame([], version.schema)
-    return spark.read.schema(version.schema).parquet(*[f"{path.rstrip('/')}/{f}" for f in picked.values()])
+    rows = listed(spark, path, version) if rows is None else rows
+    current = F.concat(F.lit(f"{WRITE}="), F.col(WRITE), F.lit(f"/{DIR}="), F.col(DIR)).isin(picked)
+    return rows.filter(current).select(*[F.col(f"`{f.name}`") for f in version.schema.fields])
+
+
+def append(spark: SparkSession, df: DataFrame, path: str, options: Optional[dict] = None) -> Version:
+    """Commit rows beside those of an unpartitioned table (its first rows, if there is no table)."""
+    last = load(spark, path)
+    number = last.number + 1 if last else 1
+    written = write_folders(df, path, uuid.uuid4().hex, None, options)
+    entries = {WHOLE if not last else f"{WHOLE}+{number}": f for f in written.values()}
+    version = Version(number, last.schema if last else df.schema, {**(last.folders if last else {}), **entries}, [], None)
+    commit(spark, path, version)
+    return version

@@ -63,7 +63,7 @@ class TableSpec:
     keep_tombstones: bool = False
     partial_after: bool = False
     split_key_change: bool = False  # an update that changes the key deletes the old key
-    lookup_key: Optional[str] = None  # e.g. customer code checked against a map table
+    lookup_key: Optional[str] = None  # new values of this column go to the run's key lookup
     format: str = "parquet"
     post: Optional[Callable[[DataFrame], DataFrame]] = None
     writer_options: dict = field(default_factory=dict)

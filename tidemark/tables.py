@@ -15,5 +15,6 @@ CASH_TRANSACTIONS = register(
         required=("C_TRANSACTION_DATE", "PK_CASH_TRANSACTION"),
         sort_cols=("C_ACCOUNT_CODE",),
         cluster_cols=("C_ACCOUNT_CODE",),
+        lookup_key="C_CUSTOMER_CODE",
     )
 )
