@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, exact_dedup, jaccard, mixing, quality
 from tidemark.session import scratch_path
+from tidemark.sinks.versions import remove
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,8 +57,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written below the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    done = []
     for k, (_, stage) in enumerate(STAGES):
-        path = scratch_path(spark, f"corpus-{k}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        done.append(scratch_path(spark, f"corpus-{k}"))
+        stage(spark, docs, sf_dir).write.parquet(done[-1])
+        docs = spark.read.parquet(done[-1])
+        remove(spark, done[:-1][-1:])  # the stage before is not read again
     return docs

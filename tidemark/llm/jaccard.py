@@ -39,6 +39,7 @@ from tidemark.llm.columns import fresh, text_of
 from tidemark.llm.count_tree import likely_pairs, needed, overlap_bound, packed, unpacked
 from tidemark.llm.graph import components
 from tidemark.session import checkpoint_root, scratch_path
+from tidemark.sinks.versions import remove
 
 #: Words of a shingle and the similarity of a link in percent.
 SHINGLE, PERCENT = 5, 75
@@ -284,9 +285,9 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: i
     often = points.select("node", F.explode("often").alias("h")).distinct()
     # One row per frequent hash, at most FREQUENT: a broadcast of bounded size.
     ends = often.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    path = scratch_path(spark, "cells")
-    rare.filter("low < high").select("h", "node").unionByName(often.join(F.broadcast(ends), "h").select("h", "node")).write.parquet(path)
-    cells = spark.read.parquet(path)
+    cells_path, placed_path = scratch_path(spark, "cells"), scratch_path(spark, "placed")
+    rare.filter("low < high").select("h", "node").unionByName(often.join(F.broadcast(ends), "h").select("h", "node")).write.parquet(cells_path)
+    cells = spark.read.parquet(cells_path)
 
     # A cell's star has the node with the most shared hashes in its middle: among near copies that is
     # one with few changes, which most others are similar to.
@@ -298,9 +299,9 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: i
 
     # Cells that still hold several components.
     placed = cells.select("h", "node").distinct().join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    path = scratch_path(spark, "placed")
-    placed.write.parquet(path)
-    placed = spark.read.parquet(path)
+    placed.write.parquet(placed_path)
+    placed = spark.read.parquet(placed_path)
+    remove(spark, [cells_path])  # all that came of it is checkpointed
     # Cells of the same nodes (the hashes of one passage) are searched once.
     split = (
         placed.groupBy("h").agg(
@@ -311,6 +312,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: i
     open_cells = placed.join(split, "h", "left_semi").join(nodes.select("node", "n", "vector"), "node")
     more = _verified(_tree_pairs(open_cells.select("h", "node", "component", "n", "vector"), percent), nodes, rows, percent)
     final = components(links.unionByName(more))
+    remove(spark, [placed_path])
 
     grouped = points.filter("n > 0").join(final, "node", "left").select("id", "row_key", "n", F.coalesce("component", "node").alias("group"))
     smallest = grouped.groupBy("group").agg(F.min("id").alias("smallest")).checkpoint()

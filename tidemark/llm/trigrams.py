@@ -8,7 +8,6 @@ has no mandatory trigram, so its whole pattern must scan every text.
 
 from __future__ import annotations
 
-import re
 import string
 from re import _constants as K
 from re import _parser as P
