@@ -1,6 +1,6 @@
 """Column expressions used across the engine (all JVM-side built-ins)."""
 
-from tidemark.functions.time import clamp_low, micros, shift, to_local_day
+from tidemark.functions.time import clamp_low, shift
 from tidemark.functions.surrogate import account_surrogate, surrogate
 
-__all__ = ["clamp_low", "micros", "shift", "to_local_day", "surrogate", "account_surrogate"]
+__all__ = ["clamp_low", "shift", "surrogate", "account_surrogate"]

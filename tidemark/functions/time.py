@@ -15,14 +15,6 @@ from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampTyp
 TIME_TYPES = (DateType, TimestampType, TimestampNTZType)
 
 
-def micros(c: Column | str, dtype: DataType | None = None) -> Column:
-    """Epoch microseconds of a date/timestamp/NTZ column; BIGINT columns pass through."""
-    c = F.col(c) if isinstance(c, str) else c
-    if dtype is not None and not isinstance(dtype, TIME_TYPES):
-        return c.cast("bigint")
-    return F.unix_micros(c.cast("timestamp"))
-
-
 def shift(c: Column | str, dtype: DataType, hours: int, keep_dates: bool = False) -> Column:
     """Move a date/time value by ``hours``. Dates become timestamps at that hour unless kept."""
     c = F.col(c) if isinstance(c, str) else c
@@ -40,9 +32,3 @@ def clamp_low(c: Column | str, dtype: DataType, low: str) -> Column:
     target = "timestamp_ntz" if isinstance(dtype, TimestampNTZType) else "timestamp"
     lo = F.lit(low).cast(target)
     return F.when(c < lo, lo).otherwise(c)
-
-
-def to_local_day(c: Column | str) -> Column:
-    """Calendar day of a (already shifted) timestamp."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.to_date(c)

@@ -115,10 +115,6 @@ def upserts(df: DataFrame) -> DataFrame:
     return df.filter(F.col("op_type").isin(*UPSERT_OPS))
 
 
-def deletes(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("op_type") == OP_DELETE)
-
-
 def align_union(dfs: Iterable[DataFrame], strict: bool = True) -> DataFrame:
     """Union by column name. ``strict=False`` fills columns missing on one side with null."""
     frames = [d for d in dfs if d is not None]

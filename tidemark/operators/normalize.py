@@ -10,7 +10,7 @@ from typing import Iterable, Optional, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from tidemark.functions.time import TIME_TYPES, clamp_low, shift
 from tidemark.spec import OP_DELETE
@@ -77,13 +77,3 @@ def require(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> Dat
 def with_day(df: DataFrame, source: str, out: str) -> DataFrame:
     """Day partition column from an (already shifted) timestamp/date column."""
     return df.withColumn(out, F.to_date(F.col(f"`{source}`")))
-
-
-def dates_to_timestamps(df: DataFrame) -> DataFrame:
-    """Cast DATE columns to TIMESTAMP (used when a spec keeps shift 0 but wants one type)."""
-    return df.select(
-        *[
-            F.col(f"`{f.name}`").cast("timestamp").alias(f.name) if isinstance(f.dataType, DateType) else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
