@@ -144,3 +144,23 @@ def test_components_of_chains_and_stars(spark):
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert all(got[k] == 0 for k in range(201)) and all(got[2000 + k] == 1000 for k in range(300))
     assert got[7000] == got[-5] == got[-9] == -9
+
+
+@pytest.mark.parametrize("often", [0.0, 0.3, 1.0])
+def test_similar_pairs_pass_in_the_cell_of_their_first_common_hash(often):
+    rng = np.random.default_rng(6)
+    for n in (1, 4, 20, 150, 900):
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+            b = a.copy()
+            b[: n // 9] = rng.integers(0, 2**64, n // 9, dtype=np.uint64)
+            b = np.unique(b)
+            if not jaccard.similar(a, b):
+                continue
+            frequent = np.sort(rng.choice(np.union1d(a, b), int(often * n), replace=False))
+            order = {int(h): (bool(jaccard._is_in(np.array([h]), frequent)[0]), int(h)) for h in np.union1d(a, b)}
+            h = min(np.intersect1d(a, b).tolist(), key=order.get)
+            assert all(h in np.concatenate(jaccard._first(s, frequent, 75)) for s in (a, b))
+            p, q = (jaccard._after(unpacked(packed(s)), h, int(jaccard._is_in(s, frequent).sum()), order[h][0]) for s in (a, b))
+            assert overlap_bound(p, q) >= len(np.intersect1d(a, b))
+            assert (0, 0) in set(likely_pairs([(p, len(a))], [(q, len(b))], 75))

@@ -121,7 +121,7 @@ def frequent_hashes(rows: DataFrame, sample: int = SAMPLE, most: int = FREQUENT)
 
 
 def _points(rows: DataFrame, shared, percent: int) -> DataFrame:
-    """Per row: id, row_key, node, n, vector (packed counts) and its frequent first hashes."""
+    """Per row: id, row_key, node, n, vector (packed counts), frequent first hashes, number of frequent hashes."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -134,10 +134,11 @@ def _points(rows: DataFrame, shared, percent: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([packed(s) for s in sets], pa.binary()),
                     pa.array([_signed(_first(s, shared.value, percent)[1]) for s in sets], pa.list_(pa.int64())),
-                ], names=["id", "row_key", "node", "n", "vector", "often"])
+                    pa.array([int(_is_in(s, shared.value).sum()) for s in sets], pa.int32()),
+                ], names=["id", "row_key", "node", "n", "vector", "often", "n_often"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "row_key", "text").mapInArrow(scan, f"id {id_type}, row_key bigint, node bigint, n bigint, vector binary, often array<bigint>")
+    return rows.select("id", "row_key", "text").mapInArrow(scan, f"id {id_type}, row_key bigint, node bigint, n bigint, vector binary, often array<bigint>, n_often int")
 
 
 def _rare_postings(rows: DataFrame, shared, percent: int) -> DataFrame:
@@ -208,17 +209,34 @@ def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, percent: int)
     return dealt.mapInArrow(verify, "a bigint, b bigint").distinct().checkpoint()
 
 
-def _tree_pairs(cells: DataFrame, percent: int) -> DataFrame:
+def _after(point: np.ndarray, h: int, n_often: int, frequent: bool) -> np.ndarray:
+    """The point of what a set can share with another one whose first common hash is ``h``.
+
+    In the common order the infrequent hashes come first, then the frequent ones, each by value. So
+    groups below that of ``h`` have nothing in common but, if ``h`` is infrequent, frequent hashes; their
+    number stands in the first group. A similar pair passes in the cell of its first common hash;
+    in later cells, where more groups are left out, most pairs do not pass again.
+    """
+    group = (h % (1 << 64)) >> (65 - len(point).bit_length())
+    out = point.astype(np.uint16)
+    if group:
+        out[:group] = 0
+        out[0] = 0 if frequent else min(n_often, 0xFFFF)
+    return out
+
+
+def _tree_pairs(cells: DataFrame, nodes: DataFrame, shared, percent: int) -> DataFrame:
     """Pairs of different components that share a cell and pass the bound.
 
-    ``cells`` has (h, node, component, n, vector). A cell of m nodes is cut into ceil(m / TILE) tiles;
-    each pair of tiles is one piece of work.
+    ``cells`` has (h, node, component). A cell of m nodes is cut into ceil(m / TILE) tiles; each pair of
+    tiles is one piece of work. The points join the pieces last, so they are shuffled once.
     """
     tiles = cells.groupBy("h").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")).checkpoint()
     laid = cells.join(tiles, "h").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     others = F.sequence(F.lit(0), F.col("tiles") - 1)
-    laid = laid.select("h", "node", "component", "n", "vector", "tile", F.explode(others).alias("other"))
-    laid = laid.select("h", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "component", "n", "vector")
+    laid = laid.select("h", "node", "component", "tile", F.explode(others).alias("other"))
+    laid = laid.join(nodes.select("node", "n", "vector", "n_often"), "node")
+    laid = laid.select("h", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "component", "n", "vector", "n_often")
     n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = laid.repartition(n, "h", "i", "j").sortWithinPartitions("h", "i", "j")
 
@@ -231,7 +249,9 @@ def _tree_pairs(cells: DataFrame, percent: int) -> DataFrame:
             return
         # Pairs inside the largest component need no look, so its nodes are only found, from the others.
         largest = max(sizes, key=lambda c: (sizes[c], c))
-        points = [[(unpacked(r[7]), r[6]) for r in some] for some in (left, right)]
+        h = rows[0][0]
+        frequent = bool(_is_in(np.array([h], np.int64).view(np.uint64), shared.value)[0])
+        points = [[(_after(unpacked(r[7]), h, r[8], frequent), r[6]) for r in some] for some in (left, right)]
         sides = [(left, right, *points)] if i == j else [(left, right, *points), (right, left, *points[::-1])]
         for mine, theirs, own, other in sides:
             for x, y in likely_pairs(own, other, percent, lambda r, mine=mine: mine[r][5] != largest):
@@ -275,8 +295,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: i
     _points(rows, shared, percent).write.parquet(path)
     points = spark.read.parquet(path)
     nodes = (
-        points.filter("n > 0").groupBy("node").agg(F.min(F.struct("row_key", "n", "vector")).alias("p"))
-        .select("node", "p.row_key", "p.n", "p.vector").checkpoint()
+        points.filter("n > 0").groupBy("node").agg(F.min(F.struct("row_key", "n", "vector", "n_often")).alias("p"))
+        .select("node", "p.row_key", "p.n", "p.vector", "p.n_often").checkpoint()
     )
 
     # Cells of at least two nodes, as (h, node).
@@ -309,8 +329,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: i
             F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
         .filter("low < high").groupBy("m", "x", "y").agg(F.min("h").alias("h")).select("h").checkpoint()
     )
-    open_cells = placed.join(split, "h", "left_semi").join(nodes.select("node", "n", "vector"), "node")
-    more = _verified(_tree_pairs(open_cells.select("h", "node", "component", "n", "vector"), percent), nodes, rows, percent)
+    open_cells = placed.join(split, "h", "left_semi").select("h", "node", "component")
+    more = _verified(_tree_pairs(open_cells, nodes, shared, percent), nodes, rows, percent)
     final = components(links.unionByName(more))
     remove(spark, [placed_path])
 
