@@ -164,3 +164,17 @@ def test_similar_pairs_pass_in_the_cell_of_their_first_common_hash(often):
             p, q = (jaccard._after(unpacked(packed(s)), h, int(jaccard._is_in(s, frequent).sum()), order[h][0]) for s in (a, b))
             assert overlap_bound(p, q) >= len(np.intersect1d(a, b))
             assert (0, 0) in set(likely_pairs([(p, len(a))], [(q, len(b))], 75))
+
+
+def test_short_texts_beside_a_star_centre_that_holds_their_common_part(spark):
+    """The cells that both and the centre share lie on both sides of 2^63; the pair passes in the first of them only."""
+    rng, pairs = random.Random(11), []
+    for k in range(3000):
+        n = rng.choice((12, 12, 13, 16, 20))
+        common = [f"t{k}w{j}" for j in range(n - 1)]
+        other = [f"o{k}w{j}" for j in range(rng.randrange(4, 10))]
+        texts = [[*common, "a"], [*common, "b"], [*common, *other], [*other, *(f"d{k}w{j}" for j in range(3))]]
+        pairs += [(10 * k + j, " ".join(t)) for j, t in enumerate(texts)]
+    got = {r.doc_id: r.component_id for r in jaccard.similar_groups(frame(spark, pairs)).collect()}
+    want = {i: c for at in range(0, len(pairs), 4) for i, _, c in by_hand(pairs[at : at + 4])}
+    assert {i: (got[i], c) for i, c in want.items() if got[i] != c} == {}

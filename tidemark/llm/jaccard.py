@@ -306,7 +306,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: i
     # One row per frequent hash, at most FREQUENT: a broadcast of bounded size.
     ends = often.groupBy("h").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     cells_path, placed_path = scratch_path(spark, "cells"), scratch_path(spark, "placed")
-    rare.filter("low < high").select("h", "node").unionByName(often.join(F.broadcast(ends), "h").select("h", "node")).write.parquet(cells_path)
+    rare.filter("low < high").select("h", "node", F.lit(False).alias("frequent")).unionByName(often.join(F.broadcast(ends), "h").select("h", "node", F.lit(True).alias("frequent"))).write.parquet(cells_path)
     cells = spark.read.parquet(cells_path)
 
     # A cell's star has the node with the most shared hashes in its middle: among near copies that is
@@ -318,16 +318,18 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: i
     first = components(links)
 
     # Cells that still hold several components.
-    placed = cells.select("h", "node").distinct().join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = cells.distinct().join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed.write.parquet(placed_path)
     placed = spark.read.parquet(placed_path)
     remove(spark, [cells_path])  # all that came of it is checkpointed
-    # Cells of the same nodes (the hashes of one passage) are searched once.
+    # Cells of the same nodes (the hashes of one passage) are searched once, in the first of them by the
+    # common order: only there is the first hash that a pair shares (``_after``).
+    unsigned = F.col("h").bitwiseXOR(F.lit(-(1 << 63)))
     split = (
-        placed.groupBy("h").agg(
+        placed.groupBy("h", "frequent").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m"),
             F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
-        .filter("low < high").groupBy("m", "x", "y").agg(F.min("h").alias("h")).select("h").checkpoint()
+        .filter("low < high").groupBy("m", "x", "y").agg(F.min(F.struct("frequent", unsigned, "h")).alias("first")).select("first.h").checkpoint()
     )
     open_cells = placed.join(split, "h", "left_semi").select("h", "node", "component")
     more = _verified(_tree_pairs(open_cells, nodes, shared, percent), nodes, rows, percent)
