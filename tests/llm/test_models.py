@@ -221,6 +221,26 @@ def test_lm_beats_counts_on_held_out_texts(spark):
     assert held.score > held.base + 0.02 * held.n
 
 
+@pytest.fixture(scope="module")
+def one_document_a_slice(spark):
+    """The corpus and a function that gives the model learnt from it, with the words of one document turned round."""
+    vocabulary = Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    rows = [(" ".join(f"the and of to in is that for it as was with {k}".split() * 3), k) for k in range(32)]
+
+    def learnt(turned=None):
+        return lm.train_model(spark.createDataFrame([(" ".join(t.split()[::-1]) if k == turned else t, k) for t, k in rows], "text string, draw long"), corpus)
+
+    corpus = lm.count_corpus(spark.createDataFrame(rows, "text string, draw long").select("text"), vocabulary)
+    return learnt, learnt()
+
+
+@pytest.mark.parametrize("slice_", [0, 5, 18, 31])
+def test_the_model_learns_from_documents_of_every_slice(one_document_a_slice, slice_):
+    """Turning a document's words round leaves all counts as they are."""
+    learnt, model = one_document_a_slice
+    assert learnt() == model != learnt(turned=slice_)
+
+
 # toxicity
 
 def test_toxicity_learns_from_labels(spark):
