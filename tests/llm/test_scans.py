@@ -239,6 +239,16 @@ def test_disclosing_terms_against_counting(spark):
     assert clean[10] == texts[10]
 
 
+def test_a_signature_that_never_changes_discloses(spark):
+    """The same line beside the value in different documents; copies of one document count once."""
+    line = "Jane Example, Acme Corporation, jane@acme.com"
+    fill = "nothing of note stands in this long paragraph about plain weather and roads " * 2
+    texts = [f"letter {w} {fill}{line} {fill}" for w in ("first", "second", "third")] + [f"{fill} copy of Smithers joe@ex.org {fill}"] * 4 + [fill] * 40
+    got = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == 4] for r in pii.find_personal_data(frame(spark, list(enumerate(texts)))).collect()}
+    assert all({"Jane", "Example", "Acme", "Corporation"} <= set(got[k]) for k in range(3))
+    assert all(not got[k] for k in range(3, 47))
+
+
 def test_personal_query(spark):
     texts = documents(spark)
     for r in queries.op8_personal_data(spark, SF001).collect():

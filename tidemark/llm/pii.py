@@ -38,7 +38,7 @@ _TERM = re.compile(r"[^\W\d_]{4,}")
 
 #: A term counts as near within so many characters of the value.
 NEAR = 60
-#: Share of an entity's information that makes a term disclosing, and the contexts it takes.
+#: Share of an entity's information that makes a term disclosing, and the different texts it takes.
 DISCLOSURE, SUPPORT = 0.9, 3
 
 
@@ -88,8 +88,9 @@ def _number(text: str) -> int:
 
 
 def _near_terms(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """Terms beside each value, with hashes of the value and of the context; none inside a value."""
+    """Terms beside each value, with hashes of the value and of the whole text (context); none inside a value."""
     out = []
+    context = _number(text) if spans else 0
     for kind, start, end in spans:
         value = text[start:end].lower() if kind < 2 else re.sub(r"\D", "", text[start:end])
         low, high = max(0, start - NEAR), min(len(text), end + NEAR)
@@ -99,7 +100,6 @@ def _near_terms(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
             if (low == 0 or m.start() > 0) and (high == len(text) or m.end() < high - low)
             and not any(a < low + m.end() and low + m.start() < b for _, a, b in spans)
         ]
-        context = _number(" ".join(t for t, _, _ in terms))
         entity = _number(f"{kind}:{value}")
         out += [{"entity": entity, "term": t, "context": context, "start": a, "end": b} for t, a, b in terms]
     return out
