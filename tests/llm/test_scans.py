@@ -249,6 +249,18 @@ def test_a_signature_that_never_changes_discloses(spark):
     assert all(not got[k] for k in range(3, 47))
 
 
+def test_terms_far_from_the_value_and_in_other_documents(spark):
+    """Short terms and terms with digits count, at any distance; every occurrence is marked, beside the value or not."""
+    gap = " plain weather and roads" * 20
+    texts = [f"Zed X9 {w}{gap} jane@acme.com{gap} zed" for w in ("first", "second", "third")] + ["Zed and roads", "roads zed_x9 weather"] + [f"plain{gap} roads {k}" for k in range(2000)]
+    got = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == 4] for r in pii.find_personal_data(frame(spark, list(enumerate(texts)))).collect()}
+    assert got[0] == got[1] == got[2] == ["Zed", "X9", "zed"]
+    assert got[3] == ["Zed"] and got[4] == ["zed", "x9"]
+    assert all(not got[k] for k in range(5, len(texts)))
+    clean = {r.doc_id: r.text for r in pii.sanitise(frame(spark, list(enumerate(texts))), {"zed": "someone"}).collect()}
+    assert clean[0] == f"someone  first{gap} [email]{gap} someone" and clean[3] == "someone and roads"
+
+
 def test_personal_query(spark):
     texts = documents(spark)
     for r in queries.op8_personal_data(spark, SF001).collect():

@@ -1,15 +1,17 @@
 """Personal data: patterns with checks, and terms that give protected values away.
 
 The patterns find e-mail addresses, IPv4 addresses, card numbers and telephone numbers. Their values
-are the protected entities. Terms near an entity are then weighed by what the corpus says: with N
-documents, the information content of entity e is IC(e) = ln(N / n(e)), and what term t tells of it
-is PMI(e, t) = ln(N n(e, t) / (n(e) n(t))). Where PMI / IC reaches the disclosure threshold, t says
-nearly as much as the value itself; its occurrences beside e become spans of kind ``term``, provided
-that e and t meet in at least ``support`` different contexts (copies of one passage are one
-context). ``sanitise`` generalises such terms by a given taxonomy and removes the others.
-
-n(e), n(t), n(e, t) and N count all documents. Spans are (start, end) in code points. Null and empty
-texts have none; ids pass through, null and repeated ones too; an empty table gives an empty result.
+are the protected entities. All terms of an entity's documents are then weighed by what the corpus
+says: with N documents, the information content of entity e is IC(e) = ln(N / n(e)), and what term t
+tells of it is PMI(e, t) = ln(N n(e, t) / (n(e) n(t))). Where PMI / IC reaches the disclosure
+threshold, t says nearly as much as the value itself; its occurrences in all documents become spans
+of kind ``term``, provided that e and t meet in documents of at least ``support`` different texts
+(copies of a whole text count once). ``sanitise`` generalises such terms by a given taxonomy and
+removes the others.
+
+n(e), n(t), n(e, t) and N count all documents. Terms are runs of letters and digits outside values.
+Spans are (start, end) in code points. Null and empty texts have none; ids pass through, null and
+repeated ones too; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,10 +36,10 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TERM = re.compile(r"[^\W\d_]{4,}")
+_TERM = re.compile(r"[^\W_]+")
 
-#: A term counts as near within so many characters of the value.
-NEAR = 60
+#: Places of the bitmap of disclosing terms, and words that a worker remembers.
+SLOTS, REMEMBER = 1 << 20, 400_000
 #: Share of an entity's information that makes a term disclosing, and the different texts it takes.
 DISCLOSURE, SUPPORT = 0.9, 3
 
@@ -87,26 +89,30 @@ def _number(text: str) -> int:
     return int.from_bytes(blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _near_terms(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """Terms beside each value, with hashes of the value and of the whole text (context); none inside a value."""
-    out = []
-    context = _number(text) if spans else 0
-    for kind, start, end in spans:
-        value = text[start:end].lower() if kind < 2 else re.sub(r"\D", "", text[start:end])
-        low, high = max(0, start - NEAR), min(len(text), end + NEAR)
-        terms = [
-            (m.group().lower(), low + m.start(), low + m.end()) for m in _TERM.finditer(text[low:high])
-            # Terms that the edge cuts, or that touch a value, are left out.
-            if (low == 0 or m.start() > 0) and (high == len(text) or m.end() < high - low)
-            and not any(a < low + m.end() and low + m.start() < b for _, a, b in spans)
-        ]
-        entity = _number(f"{kind}:{value}")
-        out += [{"entity": entity, "term": t, "context": context, "start": a, "end": b} for t, a, b in terms]
-    return out
+def _words_outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """Words that touch no value, with their places."""
+    values, k = sorted((a, b) for _, a, b in spans), 0
+    # Values of different kinds can overlap; the end that counts is the largest so far.
+    ends, far = [], 0
+    for _, b in values:
+        far = max(far, b)
+        ends.append(far)
+    for m in _TERM.finditer(text):
+        while k < len(values) and ends[k] <= m.start():
+            k += 1
+        if k == len(values) or m.end() <= values[k][0]:
+            yield m.group().lower(), m.start(), m.end()
+
+
+def _terms(text: str, spans: list[tuple[int, int, int]]) -> set[str]:
+    return {t for t, _, _ in _words_outside(text, spans)} if spans else {t.lower() for t in set(_TERM.findall(text))}
+
+
+def _entities(text: str, spans: list[tuple[int, int, int]]) -> set[int]:
+    return {_number(f"{k}:{text[a:b].lower() if k < 2 else re.sub(r'[^0-9]', '', text[a:b])}") for k, a, b in spans}
 
 
 _SPAN = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
-_NEARBY = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("context", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,46 +122,82 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([
             batch.column(0),
             pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in s] for s in spans], _SPAN),
-            pa.array([_near_terms(t, s) for t, s in zip(texts, spans)], _NEARBY),
-        ], names=["id", "base", "near"])
+            pa.array([_number(t) for t in texts], pa.int64()),
+            pa.array([list(_entities(t, s)) for t, s in zip(texts, spans)], pa.list_(pa.int64())),
+            pa.array([sorted(_terms(t, s)) if s else [] for t, s in zip(texts, spans)], pa.list_(pa.string())),
+        ], names=["id", "base", "key", "entities", "terms"])
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, documents of this batch that have it)."""
+    """(term, documents of this batch that have it outside values)."""
     for batch in batches:
         counts: Counter[str] = Counter()
         for text in batch.column(0).to_pylist():
-            counts.update(set(_TERM.findall(text.lower())))
+            counts.update(_terms(text, personal_spans(text)))
         yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
 
 
 def disclosing_terms(staged: DataFrame, texts: DataFrame, threshold: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
     """(entity, term) pairs whose term tells at least ``threshold`` of the entity's information."""
-    near = staged.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.context")
-    met = (
-        near.groupBy("entity", "term", "context").agg(F.count("*"))
-        .groupBy("entity", "term").agg(F.count("*").alias("contexts")).filter(F.col("contexts") >= support)
-        .select("entity", "term").checkpoint()
-    )
-    if met.isEmpty():
-        return met
-    together = near.join(met, ["entity", "term"]).groupBy("entity", "term", "row").agg(F.count("*")).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    of_entity = near.groupBy("entity", "row").agg(F.count("*")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    of_term = (
-        texts.mapInArrow(_document_counts, "term string, n bigint")
-        .join(met.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
-    )
     n = F.lit(float(staged.count()))
     content = F.log(n / F.col("n_entity"))
-    told = F.log(n * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
-    return together.join(of_entity, "entity").join(of_term, "term").filter((content > 0) & (told >= threshold * content)).select("entity", "term").checkpoint()
+
+    def told(both: Column) -> Column:
+        return F.log(n * both / (F.col("n_entity") * F.col("n_term"))) >= threshold * content
+
+    held = staged.select("key", F.explode("entities").alias("entity")).groupBy("key", "entity").agg(F.count("*").alias("copies")).checkpoint()
+    of_entity = held.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count("*").alias("texts")).filter((F.col("texts") >= support) & (content > 0))
+    live = held.join(of_entity.select("entity", "n_entity").checkpoint(), "entity").checkpoint()
+    of_term = texts.mapInArrow(_document_counts, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n_term")).filter(F.col("n_term") >= support).checkpoint()
+    words = staged.join(live.select("key").distinct().checkpoint(), "key", "left_semi").select("key", F.explode("terms").alias("term")).distinct()
+    # No pair meets more often than its rarer side stands, so what fails with that number fails anyway.
+    met = words.join(of_term, "term").join(live, "key").filter(told(F.least("n_entity", "n_term")))
+    counted = met.groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("texts"), F.sum("copies").alias("n_both"))
+    return counted.filter((F.col("texts") >= support) & told(F.col("n_both"))).select("entity", "term").checkpoint()
+
+
+def _slot(term: str) -> int:
+    return _number(term) % SLOTS
+
+
+def _occurrences(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """(key, terms): per different text, the spans of all occurrences of ``terms`` (column term).
+
+    A bitmap of at most ``SLOTS`` entries goes to every worker and lets few other words pass; a join settles those.
+    """
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_slot(t) for t in batch.column(0).to_pylist()], pa.int64())], names=["slot"])
+
+    shared = texts.sparkSession.sparkContext.broadcast(frozenset(r.slot for r in terms.mapInArrow(slots, "slot bigint").distinct().collect()))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, bool] = {}
+        for batch in batches:
+            if len(known) > REMEMBER:
+                known.clear()
+            out = []
+            for text in batch.column(0).to_pylist():
+                some = set(_TERM.findall(text))
+                for w in some.difference(known):
+                    known[w] = _slot(w.lower()) in shared.value
+                if any(map(known.__getitem__, some)):
+                    key = _number(text)
+                    out += [(key, t, a, b) for t, a, b in _words_outside(text, personal_spans(text)) if known[text[a:b]]]
+            columns = list(zip(*out)) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32(), pa.int32()))], names=["key", "term", "start", "end"])
+
+    found = texts.mapInArrow(find, "key bigint, term string, start int, end int").distinct().join(terms, "term", "left_semi")
+    span = F.struct(F.lit(KINDS.index("term")).alias("kind"), "start", "end")
+    return found.groupBy("key").agg(F.collect_list(span).alias("found")).checkpoint()
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = DISCLOSURE, support: int = SUPPORT, keep_text: bool = False) -> DataFrame:
     """Per row: id and ``spans``: array<struct<kind, start, end>>, by kind, then start.
 
-    The first pass is written below the shared folder: rows get their number there, and spans and
-    nearby terms are found once. The texts are not shuffled.
+    The first pass is written below the shared folder, with the terms of documents that have an entity.
+    Rows meet the terms found in them by a hash of their text. The texts are not shuffled.
     """
     spark = docs.sparkSession
     checkpoint_root(spark)
@@ -163,24 +205,19 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
     id_type = rows.schema[0].dataType.simpleString()
     spans = "array<struct<kind:int,start:int,end:int>>"
-    nearby = "array<struct<entity:bigint,term:string,context:bigint,start:int,end:int>>"
 
     def with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = next(_scan(iter([batch])))
-            yield pa.RecordBatch.from_arrays([*found.columns, batch.column(1)], names=["id", "base", "near", "text"])
+            yield pa.RecordBatch.from_arrays([*found.columns, batch.column(1)], names=[*found.schema.names, "text"])
 
     path = scratch_path(spark, "pii")
-    scanned = rows.mapInArrow(with_text if keep_text else _scan, f"id {id_type}, base {spans}, near {nearby}" + ", text string" * keep_text)
-    scanned.withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    schema = f"id {id_type}, base {spans}, key bigint, entities array<bigint>, terms array<string>" + ", text string" * keep_text
+    rows.mapInArrow(with_text if keep_text else _scan, schema).write.parquet(path)
     staged = spark.read.parquet(path)
-    pairs = disclosing_terms(staged, texts, threshold, support)
-    near = staged.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.start", "x.end")
-    terms = near.join(pairs, ["entity", "term"], "left_semi").select(
-        F.col("row").alias("term_row"), F.struct(F.lit(KINDS.index("term")).alias("kind"), "start", "end").alias("s")
-    ).groupBy("term_row").agg(F.collect_set("s").alias("terms"))
-    joined = staged.join(terms, F.col("row") == F.col("term_row"), "left")
-    all_spans = F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.concat("base", F.sort_array("terms")))
+    terms = disclosing_terms(staged, texts, threshold, support).select("term").distinct().checkpoint()
+    joined = staged.drop("entities", "terms").join(_occurrences(texts, terms), "key", "left")
+    all_spans = F.when(F.col("found").isNull(), F.col("base")).otherwise(F.concat("base", F.sort_array("found")))
     return joined.select(F.col("id").alias(id_col), all_spans.alias("spans"), *["text"] * keep_text)
 
 
