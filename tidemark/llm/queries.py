@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tidemark.llm import bpe, exact_dedup, jaccard, licenses, lm, mixing, pii, quality, secrets, toxicity
+from tidemark.llm import bpe, exact_dedup, jaccard, licenses, lm, main_text, mixing, negatives, pii, prefix_trie, quality, secrets, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,9 +106,30 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, some of whose labels are moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), is_anchor=F.col("id") % 100 == 0, label=label)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of all conversations, each of which borrows its first turns from the first of its five."""
+    return prefix_trie.prefix_trie(
+        spark.read.parquet(f"{sf_dir}/conversations.parquet"), base=lambda c: c - c % 5, borrowed=lambda c: F.crc32(c.cast("string").cast("binary")) % 9, most=8
+    )
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text.extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_license_scan, op2_mix, op3_lm_score, op4_bpe, op5_exact_dedup, op6_secret_scan, op7_quality_rules, op8_personal_data, op9_toxicity, op10_jaccard_join)
+    for f in (
+        op1_license_scan, op2_mix, op3_lm_score, op4_bpe, op5_exact_dedup, op6_secret_scan, op7_quality_rules, op8_personal_data, op9_toxicity,
+        op10_jaccard_join, op11_hard_negatives, op12_prefix_trie, op13_html_extraction,
+    )
 }
 
 ORACLE = {
@@ -142,5 +163,49 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op11_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10
+""",
+    "op12_prefix_trie": """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS base,
+         xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+             lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)), lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) % 9 AS h
+  FROM t),
+r AS (
+  SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+q AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS d, strlen(text) AS bytes, md5(len(role) || ':' || role || text) AS turn FROM r),
+p AS (
+  SELECT a.conv_id, a.d, any_value(a.bytes) AS bytes, string_agg(b.turn, '' ORDER BY b.d) AS path
+  FROM q a JOIN q b ON a.conv_id = b.conv_id AND b.d <= a.d GROUP BY a.conv_id, a.d
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+l AS (SELECT conv_id, max(d) AS d FROM p GROUP BY conv_id),
+n AS (
+  SELECT path, p.d AS depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saves,
+         sha256(coalesce(string_agg(CASE WHEN l.d = p.d THEN p.conv_id::VARCHAR END, ',' ORDER BY p.conv_id), '')) AS ends_sha256
+  FROM p JOIN l USING (conv_id) GROUP BY path, p.d),
+k AS (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+s AS (
+  SELECT a.path, CAST(sum(b.saves) AS BIGINT) AS saved_tokens, count(*) FILTER (b.n_children = 0) AS n_leaves
+  FROM m a JOIN m b ON b.depth >= a.depth AND left(b.path, 32 * a.depth) = a.path GROUP BY a.path)
+SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves, s.saved_tokens, m.ends_sha256
+FROM m JOIN s USING (path) LEFT JOIN m u ON u.depth = m.depth - 1 AND u.path = left(m.path, 32 * (m.depth - 1))
 """,
 }
