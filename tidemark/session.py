@@ -10,8 +10,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from typing import Iterable
+
 from pyspark.sql import SparkSession
 
+#: Most keys that are pushed down to a scan one by one.
+PUSHED_KEYS = 1000
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tidemark") -> SparkSession:
     """A local session configured the way the engine expects (UTC, AQE, no UI)."""
@@ -30,6 +35,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # On a local disk a checksum file beside each file costs as much as the file, in thousands of small ones.
+    sc = spark.sparkContext
+    sc._jvm.org.apache.hadoop.fs.FileSystem.getLocal(sc._jsc.hadoopConfiguration()).setWriteChecksum(False)
     apply_engine_conf(spark)
     return spark
 
@@ -44,6 +52,8 @@ def apply_engine_conf(spark: SparkSession) -> None:
         "spark.sql.parquet.int96RebaseModeInRead",
     ):
         spark.conf.set(k, "CORRECTED")
+    # Keys of a small batch reach the files' Bloom filters as a list of values.
+    spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(PUSHED_KEYS))
 
 
 _OWN_ROOT: dict[int, str] = {}
@@ -71,7 +81,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _OWN_ROOT[key]
 
 
+def scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/tidemark-scratch"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a staged table below the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    return f"{root}/tidemark-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of a path and the path as it wants it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        fs, p = filesystem(spark, path)
+        fs.delete(p, True)
+
+
+def size_on_disk(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(bytes, files) below a folder."""
+    fs, p = filesystem(spark, path)
+    found = fs.getContentSummary(p)
+    return int(found.getLength()), int(found.getFileCount())
