@@ -38,8 +38,7 @@ from pyspark.sql import Window
 from tidemark.llm.columns import fresh, text_of
 from tidemark.llm.count_tree import likely_pairs, needed, overlap_bound, packed, unpacked
 from tidemark.llm.graph import components
-from tidemark.session import checkpoint_root, scratch_path
-from tidemark.sinks.versions import remove
+from tidemark.session import checkpoint_root, remove, scratch_path
 
 #: Words of a shingle and the similarity of a link in percent.
 SHINGLE, PERCENT = 5, 75
