@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, exact_dedup, jaccard, mixing, quality
-from tidemark.session import scratch_path
-from tidemark.sinks.versions import remove
+from tidemark.session import remove, scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
