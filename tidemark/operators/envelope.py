@@ -48,19 +48,23 @@ def business_types(schema: StructType) -> dict[str, DataType]:
     return out
 
 
-def observe_ops(df: DataFrame, name: str = "ops") -> tuple[DataFrame, Observation]:
-    """Attach per-operation counters; they are filled by the first action on the result."""
-    obs = Observation(name)
+def op_counts() -> list[Column]:
+    """Rows by operation, as aggregates to observe."""
     op = F.col("op_type")
-    observed = df.observe(
-        obs,
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(op == "I").alias("inserts"),
         F.count_if(op == "U").alias("updates"),
         F.count_if(op == "D").alias("deletes"),
         F.count_if(op == "R").alias("snapshots"),
         F.count_if(op.isNull() | ~op.isin(*OPS)).alias("rejected_op"),
-    )
+    ]
+
+
+def observe_ops(df: DataFrame, name: str = "ops") -> tuple[DataFrame, Observation]:
+    """Attach per-operation counters; they are filled by the first action on the result."""
+    obs = Observation(name)
+    observed = df.observe(obs, *op_counts())
     return observed, obs
 
 

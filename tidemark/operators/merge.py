@@ -17,14 +17,20 @@ from typing import Optional, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     ByteType,
     DataType,
     DateType,
+    DecimalType,
     DoubleType,
     FloatType,
     IntegerType,
     LongType,
+    MapType,
+    NullType,
     ShortType,
+    StructField,
+    StructType,
     TimestampNTZType,
     TimestampType,
 )
@@ -100,27 +106,194 @@ _WIDEN: dict[type, tuple[type, ...]] = {
     DoubleType: (FloatType, ByteType, ShortType, IntegerType, LongType),
     TimestampType: (DateType, TimestampNTZType),
 }
-
-
-def _cast_to(stored: DataType, incoming: DataType, name: str) -> Optional[DataType]:
-    if stored == incoming:
-        return None
-    if type(incoming) in _WIDEN.get(type(stored), ()):
+_WHOLE_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
+
+
+def common_type(stored: DataType, incoming: DataType, name: str) -> DataType:
+    """The stored type, with the fields that an incoming struct has more (also inside arrays and maps).
+
+    Incoming atomic values must fit the stored type: narrower numbers, and decimals with as many whole and
+    decimal places at most. Anything else is an error, since stored files are not rewritten."""
+    if isinstance(stored, StructType) and isinstance(incoming, StructType):
+        theirs = {f.name: f for f in incoming.fields}
+        fields = [StructField(f.name, common_type(f.dataType, theirs[f.name].dataType, f"{name}.{f.name}") if f.name in theirs else f.dataType) for f in stored.fields]
+        have = {f.name for f in stored.fields}
+        return StructType(fields + [StructField(f.name, f.dataType) for f in incoming.fields if f.name not in have])
+    if isinstance(stored, ArrayType) and isinstance(incoming, ArrayType):
+        return ArrayType(common_type(stored.elementType, incoming.elementType, f"{name}[]"))
+    if isinstance(stored, MapType) and isinstance(incoming, MapType):
+        return MapType(common_type(stored.keyType, incoming.keyType, f"{name} key"), common_type(stored.valueType, incoming.valueType, f"{name} value"))
+    if stored.simpleString() == incoming.simpleString() or isinstance(incoming, NullType) or type(incoming) in _WIDEN.get(type(stored), ()):
         return stored
-    raise ValueError(
-        f"column {name!r}: batch type {incoming.simpleString()} cannot be merged into stored type {stored.simpleString()}"
-    )
+    if isinstance(stored, DecimalType):
+        whole, places = (incoming.precision - incoming.scale, incoming.scale) if isinstance(incoming, DecimalType) else (_WHOLE_DIGITS.get(type(incoming), 99), 0)
+        if whole <= stored.precision - stored.scale and places <= stored.scale:
+            return stored
+    raise ValueError(f"column {name!r}: batch type {incoming.simpleString()} cannot be merged into stored type {stored.simpleString()}")
+
+
+def as_type(c: Column, have: DataType, want: DataType) -> Column:
+    """A value of one type as another that ``common_type`` allows; fields are matched by name."""
+    if have.simpleString() == want.simpleString():
+        return c
+    if isinstance(want, StructType) and isinstance(have, StructType):
+        mine = {f.name: f.dataType for f in have.fields}
+        fields = [(as_type(c.getField(f.name), mine[f.name], f.dataType) if f.name in mine else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(want, ArrayType) and isinstance(have, ArrayType):
+        return F.transform(c, lambda x: as_type(x, have.elementType, want.elementType))
+    if isinstance(want, MapType) and isinstance(have, MapType):
+        keyed = F.transform_keys(c, lambda k, v: as_type(k, have.keyType, want.keyType))
+        return F.transform_values(keyed, lambda k, v: as_type(v, have.valueType, want.valueType))
+    return c.cast(want)
+
+
+def _as_types(df: DataFrame, types: dict[str, DataType]) -> DataFrame:
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[as_type(F.col(f"`{c}`"), t, types[c]).alias(c) if c in types else F.col(f"`{c}`") for c, t in have.items()])
 
 
 def reconcile(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Cast batch columns to the stored types where that is a widening; anything else is an error."""
-    stored_types = {f.name: f.dataType for f in stored.schema.fields}
-    exprs = []
-    for f in incoming.schema.fields:
-        target = _cast_to(stored_types[f.name], f.dataType, f.name) if f.name in stored_types else None
-        c = F.col(f"`{f.name}`")
-        exprs.append(c.cast(target).alias(f.name) if target is not None else c)
-    return incoming.select(*exprs)
+    """Batch columns as the types that stored and batch rows share; what does not fit is an error."""
+    return _as_types(incoming, _common(stored, incoming))
+
+
+def _common(stored: DataFrame, incoming: DataFrame) -> dict[str, DataType]:
+    mine = {f.name: f.dataType for f in stored.schema.fields}
+    return {f.name: common_type(mine[f.name], f.dataType, f.name) for f in incoming.schema.fields if f.name in mine}
+
+
+def align(stored: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the types that they share: the batch's casts, the stored rows' new fields as null."""
+    types = _common(stored, incoming)
+    return _as_types(stored, types), _as_types(incoming, types)
+
+
+# ---------------------------------------------------------------- a merge in steps, for stored tables
+
+
+def reconcile_batch(stored: DataFrame, latest: DataFrame, arrays: bool) -> DataFrame:
+    """``reconcile`` for staged changes; those of a backlog hold their rows in arrays."""
+    if not arrays:
+        return reconcile(stored, latest)
+    change = latest.schema[CHANGES].dataType.elementType
+    mine = {f.name: f.dataType for f in stored.schema.fields}
+    row = StructType([StructField(f.name, common_type(mine[f.name], f.dataType, f.name) if f.name in mine else f.dataType) for f in change["row"].dataType.fields])
+    whole = ArrayType(StructType([StructField(f.name, row if f.name == "row" else f.dataType) for f in change.fields]))
+    return _as_types(latest, {**_common(stored, latest), CHANGES: whole})
+
+
+def matched(stored: DataFrame, latest: DataFrame, keys: Sequence[str], ordering: Sequence[str], more: Sequence[str], broadcast: bool) -> DataFrame:
+    """(keys, ``_stored_ord``, ``_batch_ord``, more) of the stored rows whose key the batch has; reads no other column."""
+    ordering = [c for c in ordering if c in stored.columns]
+    side = latest.select(*[F.col(f"`{k}`") for k in keys], _batch_order(latest, ordering).alias("_batch_ord"))
+    mine = stored.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keys, *more])], ordering_or_null(stored, ordering).alias("_stored_ord"))
+    return mine.join(F.broadcast(side) if broadcast else side, list(keys))
+
+
+def ordering_or_null(df: DataFrame, ordering: Sequence[str]) -> Column:
+    return ordering_struct(ordering) if ordering and "op_type" in df.columns else F.lit(None).cast("struct<o0:bigint>")
+
+
+def _batch_order(latest: DataFrame, ordering: Sequence[str]) -> Column:
+    if CHANGES in latest.columns:
+        return F.lit(None).cast("struct<o0:bigint>")
+    if BATCH_ORDER in latest.columns:
+        return F.col(BATCH_ORDER)
+    return ordering_or_null(latest, [c for c in ordering if c in latest.columns])
+
+
+def winning(latest: DataFrame, met: DataFrame, keys: Sequence[str], late_policy: str, broadcast: bool) -> DataFrame:
+    """The changes that the stored rows do not beat, given what ``matched`` found."""
+    winners = latest.drop(BATCH_ORDER)
+    if late_policy != EVENT_TIME:
+        return winners
+    stale = met.filter(F.col("_stored_ord") > F.col("_batch_ord")).select(*[F.col(f"`{k}`") for k in keys])
+    return winners.join(F.broadcast(stale) if broadcast else stale, list(keys), "left_anti")
+
+
+def added_rows(winners: DataFrame, keep_tombstones: bool) -> DataFrame:
+    """The rows that winning changes leave in the table."""
+    winners, is_delete = winners.drop(BATCH_ORDER), F.col("op_type") == OP_DELETE
+    return winners.withColumn(TOMBSTONE, is_delete) if keep_tombstones else winners.filter(~is_delete)
+
+
+def replace_rows(scope: DataFrame, winners: DataFrame, keys: Sequence[str], keep_tombstones: bool, broadcast: bool) -> DataFrame:
+    """Stored rows without the keys of the winners, and the rows that these leave."""
+    won = winners.select(*[F.col(f"`{k}`") for k in keys])
+    kept = scope.join(F.broadcast(won) if broadcast else won, list(keys), "left_anti")
+    kept, added = align(kept, added_rows(winners, keep_tombstones))
+    return kept.unionByName(added, allowMissingColumns=True)
+
+
+# ---------------------------------------------------------------- a backlog of batches as one merge
+
+CHANGES = "_changes"
+
+
+def batch_arrays(latest: DataFrame, keys: Sequence[str], ordering: Sequence[str], batch: str) -> DataFrame:
+    """One row per key with its winning change of each batch, batches in order. ``latest`` has one
+    row per key and batch, so an array has at most as many items as the backlog has batches."""
+    ordering = [c for c in ordering if c in latest.columns]
+    payload = [c for c in latest.columns if c not in (*keys, batch, BATCH_ORDER)]
+    own = ordering_or_null(latest, ordering)
+    one = F.struct(
+        F.col(f"`{batch}`").cast("bigint").alias("batch"), (F.col(BATCH_ORDER) if BATCH_ORDER in latest.columns else own).alias("batch_ord"),
+        own.alias("own_ord"), F.struct(*[F.col(f"`{c}`") for c in payload]).alias("row"),
+    )
+    by_batch = lambda a, b: F.signum(a["batch"] - b["batch"]).cast("int")
+    return latest.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.array_sort(F.collect_list(one), by_batch).alias(CHANGES))
+
+
+def fold_batches(arrays: DataFrame, keys: Sequence[str], met: Optional[DataFrame], late_policy: str, keep_tombstones: bool) -> DataFrame:
+    """The change of each key that merging its batches in turn would leave, if it is not the stored row.
+
+    The state that a key passes through is the ordering of its row (none while it is absent) and the
+    place of the change that made it: 0 is the stored row, -1 no row. A key that ends absent gives its
+    last delete."""
+    if met is None:
+        known = arrays.withColumn("_stored_ord", F.lit(None)).withColumn("_stored", F.lit(False))
+    else:
+        # A run that died between two partitions may have left a key twice: the later row counts.
+        stored = met.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max("_stored_ord").alias("_stored_ord"), F.lit(True).alias("_stored"))
+        known = arrays.join(stored, list(keys), "left").withColumn("_stored", F.coalesce("_stored", F.lit(False)))
+    order = arrays.schema[CHANGES].dataType.elementType["own_ord"].dataType
+    state = lambda ord, at: F.struct(ord.cast(order).alias("ord"), at.cast("int").alias("at"))
+    start = state(F.col("_stored_ord"), F.when(F.col("_stored"), 0).otherwise(-1))
+    numbered = F.transform(CHANGES, lambda c, i: F.struct((i + 1).alias("at"), c["batch_ord"].alias("batch_ord"), c["own_ord"].alias("own_ord"), (c["row"]["op_type"] == OP_DELETE).alias("gone")))
+
+    def step(s: Column, c: Column) -> Column:
+        stays = F.coalesce((s["at"] >= 0) & (s["ord"] > c["batch_ord"]), F.lit(False)) if late_policy == EVENT_TIME else F.lit(False)
+        made = state(c["own_ord"], c["at"])
+        if not keep_tombstones:
+            made = F.when(c["gone"], state(F.lit(None), F.lit(-1))).otherwise(made)
+        return F.when(stays, s).otherwise(made)
+
+    ended = known.withColumn("_end", F.aggregate(numbered, start, step)["at"])
+    deletes = F.filter(CHANGES, lambda c: c["row"]["op_type"] == OP_DELETE)
+    row = F.when(F.col("_end") > 0, F.element_at(CHANGES, F.greatest(F.col("_end"), F.lit(1)))["row"]).otherwise(F.element_at(deletes, -1)["row"])
+    changed = ended.filter((F.col("_end") > 0) | (F.col("_end") < 0) & F.col("_stored"))
+    return changed.select(*[F.col(f"`{k}`") for k in keys], row.alias("_row")).select(*[F.col(f"`{k}`") for k in keys], "_row.*")
+
+
+def merge_backlog(
+    current: Optional[DataFrame],
+    changes: DataFrame,
+    keys: Sequence[str],
+    batch: str,
+    ordering: Sequence[str] = ("current_ts", "op_ts"),
+    merge_mode: str = EVENT_ORDER,
+    late_policy: str = EVENT_TIME,
+    keep_tombstones: bool = False,
+) -> DataFrame:
+    """What applying the batches that column ``batch`` numbers, one after the other, makes of ``current``."""
+    latest = latest_per_key(changes.filter(F.col("op_type").isNotNull()).dropna(subset=list(keys)), [*keys, batch], ordering, merge_mode == UPSERT_THEN_DELETE)
+    arrays = batch_arrays(latest, keys, ordering, batch)
+    if current is None:
+        return added_rows(fold_batches(arrays, keys, None, late_policy, keep_tombstones), keep_tombstones)
+    arrays = reconcile_batch(current, arrays, True)
+    met = matched(current, arrays, keys, ordering, [], False)
+    return replace_rows(current, fold_batches(arrays, keys, met, late_policy, keep_tombstones), keys, keep_tombstones, False)
 
 
 def merge_latest(
@@ -153,7 +326,7 @@ def merge_latest(
     ordering = [c for c in ordering if c in current.columns and c in latest.columns]
     batch_order = F.col(BATCH_ORDER) if BATCH_ORDER in latest.columns else ordering_struct(ordering)
     latest = latest.withColumn("_batch_ord", batch_order).drop(BATCH_ORDER) if ordering else latest.withColumn("_batch_ord", F.lit(None))
-    latest = reconcile(current, latest)
+    current, latest = align(current, latest)
     hint = F.broadcast if broadcast_batch else (lambda d: d)
 
     # One join of the stored rows with the batch's orderings decides for both sides: rows that the

@@ -12,13 +12,13 @@ from pyspark.sql import SparkSession
 
 from tidemark.operators import keymaps as KM
 from tidemark.session import apply_engine_conf, checkpoint_root
-from tidemark.sinks import versions as V
+from tidemark.sinks.tables import append
 from tidemark.sources.readers import read_table, table_if_exists
 
 
 @dataclass
 class MapJob:
-    """``customer_map`` is the path of the customer map for an account job, else None."""
+    """``source`` is a path or a table, ``target`` a table; ``customer_map`` is the customer map for an account job, else None."""
 
     name: str
     source: str
@@ -41,7 +41,7 @@ def run_map(spark: SparkSession, job: MapJob, now: Optional[str] = None) -> int:
     rows = rows.checkpoint(eager=True)
     added = rows.count()
     if added:
-        V.append(spark, rows, job.target)
+        append(spark, rows, job.target)
     return added
 
 

@@ -2,22 +2,26 @@
 
 Per batch one lazy plan leads from the files to the staged changes, one per key, and a second one
 from there to the new folders of the table; the change counts come from ``Observation`` on the first.
-The driver handles file names of the current batch, the table's partitions and one result row per
-table. Times have a zone from end to end, so the zone of the process does not matter.
-
-Run state lives in three small tables below ``state_root`` (one row per run / per table):
-``run_state (run_id, common_last, updated_at)``, ``failed_tables (table_name, failed_from,
-run_id)`` and ``run_metrics``. A failed table keeps its own start time until it succeeds; the
-others move on to the common time.
+A backlog can be merged many batches at a time. The driver handles file names of the current batches,
+the table's partitions and one result row per table. Times have a zone from end to end, so the zone of
+the process does not matter.
+
+Run state is one stored table in the database ``state``: ``run_state`` has a row per table (does it wait
+for files since ``failed_from``?) and one, ``*``, with the common time. Each run merges the rows of its own
+tables, so what other tables wait for stays. The common time moves on only when every table of the state
+took part. A run that finds the state changed since it read it is refused (``ConcurrentWrite``): its
+merges are idempotent, its window comes again. ``run_metrics`` collects one row per table and run.
 """
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
-from typing import Callable, Iterable, Mapping, Optional
+from functools import reduce
+from typing import Callable, Iterable, Mapping, NamedTuple, Optional
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -25,19 +29,22 @@ from pyspark.sql import functions as F
 from tidemark.operators.changes import prepare_changes
 from tidemark.operators.envelope import observe_ops
 from tidemark.operators.keymaps import register_unknown
-from tidemark.sinks import versions as V
-from tidemark.sinks.tables import export_partitions, merge_into
+from tidemark.sinks import catalog as C
+from tidemark.sinks.export import export_once
+from tidemark.sinks.tables import append, merge_into
 from tidemark.sources import files as FS
-from tidemark.sources.readers import path_exists, read_envelope, read_table, table_if_exists
+from tidemark.sources.readers import read_envelope, read_lookup
 from tidemark.session import apply_engine_conf
-from tidemark.spec import LOCAL_ZONE, OP_DELETE, TableSpec, resolve_tables
+from tidemark.spec import ARRIVAL, LOCAL_ZONE, OP_DELETE, OP_UPDATE, TableSpec, resolve_tables
 
+BATCH = "_batch"
 METRICS_SCHEMA = (
     "run_id string, table_name string, started_at timestamp, seconds double, batches bigint, rows_in bigint, "
     "inserts bigint, updates bigint, deletes bigint, snapshots bigint, rejected bigint, ok boolean, error string"
 )
-RUN_STATE_SCHEMA = "run_id string, common_last timestamp, updated_at timestamp"
-FAILED_SCHEMA = "table_name string, failed_from timestamp, run_id string"
+RUN_STATE = TableSpec(name="run_state", keys=("table_name",), ordering=("updated_at",), late_policy=ARRIVAL)
+RUN_STATE_SCHEMA = "table_name string, failed boolean, failed_from timestamp, common_last timestamp, run_id string, updated_at timestamp, op_type string"
+COMMON = "*"  # the row of the common time
 
 
 def _now() -> datetime:
@@ -73,31 +80,33 @@ class Source:
     zone: str = LOCAL_ZONE  # whose days name the folders
     options: dict = field(default_factory=dict)
     lookup: Optional["KeyLookup"] = None
+    batches_per_merge: int = 1  # of a backlog
 
 
 @dataclass
 class KeyLookup:
     """The stored map that ``TableSpec.lookup_key`` is checked against: new keys of a batch are added.
 
-    ``client``, if given, also gets them row by row per partition (``export_partitions``)."""
+    ``client``, if given, makes a client that also gets them, each key once (``export``)."""
 
-    path: str
+    table: str
     salt: str
     client: Optional[Callable[[], object]] = None
 
 
-def register_keys(spark: SparkSession, changes: DataFrame, spec: TableSpec, lookup: KeyLookup) -> None:
+def register_keys(spark: SparkSession, changes: DataFrame, spec: TableSpec, lookup: KeyLookup, export_id: str) -> None:
     """Add keys of the upserts that the map lacks. Surrogates follow from the key, so a repeated batch adds none."""
-    known = read_table(spark, lookup.path) if path_exists(spark, lookup.path) else None
     batch = changes.filter(F.col("op_type") != OP_DELETE)
-    if known is None:
+    if C.exists(spark, lookup.table):
+        known = read_lookup(spark, [spec.lookup_key], table=lookup.table)
+    else:
         known = spark.createDataFrame([], batch.select(spec.lookup_key).schema)
     new = register_unknown(batch, known, spec.lookup_key, lookup.salt).checkpoint(eager=True)
     if new.isEmpty():
         return
     if lookup.client is not None:
-        export_partitions(new, lookup.client)
-    V.append(spark, new, lookup.path)
+        export_once(new, lookup.client, export_id)
+    append(spark, new, lookup.table)
 
 
 def plan_batches(files: DataFrame, source: Source) -> DataFrame:
@@ -140,65 +149,77 @@ def _run_files(spark, spec, source, target, from_time, to_time, full_refresh, re
     files = FS.select_window(listed, from_time, to_time, source.slack_days, source.zone)
     plan = plan_batches(files, source).select("path", "kind", "batch_id").checkpoint(eager=True)
     last = plan.agg(F.max("batch_id")).collect()[0][0]
-    first = True
-    for batch_id in range(0 if last is None else last + 1):
-        # Only the names of one batch (at most ``batch_size`` files) reach the driver.
-        rows = plan.filter(F.col("batch_id") == batch_id).select("path", "kind").collect()
-        snaps = sorted(r["path"] for r in rows if r["kind"] == FS.SNAPSHOT)
-        changes = sorted(r["path"] for r in rows if r["kind"] == FS.CHANGE)
-        env = read_envelope(spark, snaps, changes, source.fmt, strict=False, options=source.options)
-        if env is None:
+    n, size, first = 0 if last is None else last + 1, max(1, source.batches_per_merge), True
+    for start in range(0, n, size):
+        ids = range(start, min(n, start + size))
+        # Only the names of these batches (at most ``batch_size`` files each) reach the driver.
+        rows = plan.filter(F.col("batch_id").between(ids[0], ids[-1])).select("batch_id", "path", "kind").collect()
+        frames, counts = [], []
+        for batch_id in ids:
+            mine = [r for r in rows if r["batch_id"] == batch_id]
+            snaps, changes = (sorted(r["path"] for r in mine if r["kind"] == k) for k in (FS.SNAPSHOT, FS.CHANGE))
+            env = read_envelope(spark, snaps, changes, source.fmt, strict=False, options=source.options)
+            if env is None:
+                continue
+            if spec.lookup_key and source.lookup is not None:
+                # Named after the files, so a run that is started again exports nothing twice.
+                files_id = hashlib.sha1("\n".join(snaps + changes).encode()).hexdigest()[:16]
+                register_keys(spark, prepare_changes(env, spec), spec, source.lookup, f"{spec.name}-{files_id}")
+            env, ops = observe_ops(env, f"ops_{run_id}_{spec.name}_{batch_id}")
+            accepted = Observation(f"ok_{run_id}_{spec.name}_{batch_id}")
+            prepared = prepare_changes(env, spec).observe(accepted, F.count(F.lit(1)).alias("accepted"))
+            frames.append(prepared.withColumn(BATCH, F.lit(batch_id).cast("bigint")) if size > 1 else prepared)
+            counts.append((ops, accepted))
+        if not frames:
             continue
-        if spec.lookup_key and source.lookup is not None:
-            register_keys(spark, prepare_changes(env, spec), spec, source.lookup)
-        env, ops = observe_ops(env, f"ops_{run_id}_{spec.name}_{batch_id}")
-        prepared = prepare_changes(env, spec)
-        accepted = Observation(f"ok_{run_id}_{spec.name}_{batch_id}")
-        prepared = prepared.observe(accepted, F.count(F.lit(1)).alias("accepted"))
-        merge_into(spark, prepared, spec, target, full_refresh=full_refresh and first)
+        merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        merge_into(spark, merged, spec, target, full_refresh=full_refresh and first, batch=BATCH if size > 1 else None)
         first = False
-        m = ops.get
-        res.batches += 1
-        res.rows_in += m["rows"]
-        res.inserts += m["inserts"]
-        res.updates += m["updates"]
-        res.deletes += m["deletes"]
-        res.snapshots += m["snapshots"]
-        res.rejected += m["rows"] - accepted.get["accepted"]
+        for ops, accepted in counts:
+            m = ops.get
+            res.batches += 1
+            res.rows_in += m["rows"]
+            res.inserts += m["inserts"]
+            res.updates += m["updates"]
+            res.deletes += m["deletes"]
+            res.snapshots += m["snapshots"]
+            res.rejected += m["rows"] - accepted.get["accepted"]
+
 
+class RunState(NamedTuple):
+    """Common time, where the failed tables start, all tables that the state knows, and how often it was written."""
 
-def _state_table(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
-    df = table_if_exists(spark, f"{root.rstrip('/')}/{name}")
-    return df if df is not None else spark.createDataFrame([], schema)
+    common: Optional[datetime]
+    failed: dict[str, Optional[datetime]]
+    known: frozenset[str]
+    writes: int
 
 
-def load_state(spark: SparkSession, state_root: str) -> tuple[Optional[datetime], dict[str, Optional[datetime]]]:
-    """Latest common time and the failed tables of the latest run (one row per table)."""
-    rs = _state_table(spark, state_root, "run_state", RUN_STATE_SCHEMA)
-    last = rs.orderBy(F.col("updated_at").desc()).select("run_id", "common_last").limit(1).collect()
-    if not last:
-        return None, {}
-    ft = _state_table(spark, state_root, "failed_tables", FAILED_SCHEMA).filter(F.col("run_id") == last[0]["run_id"])
-    failed = {r["table_name"]: _aware(r["failed_from"]) for r in ft.collect() if r["table_name"] is not None}
-    return _aware(last[0]["common_last"]), failed
+def load_state(spark: SparkSession, state: str) -> RunState:
+    table = f"{state}.run_state"
+    writes = C.merges(spark, table)
+    rows = C.rows(spark, table).collect() if writes >= 0 else []  # one row per table
+    common = next((_aware(r["common_last"]) for r in rows if r["table_name"] == COMMON), None)
+    failed = {r["table_name"]: _aware(r["failed_from"]) for r in rows if r["failed"]}
+    return RunState(common, failed, frozenset(r["table_name"] for r in rows) - {COMMON}, writes)
 
 
 def save_state(
     spark: SparkSession,
-    state_root: str,
+    state: str,
     run_id: str,
+    before: RunState,
     common_last: Optional[datetime],
     failed: Mapping[str, Optional[datetime]],
     results: Iterable[RunResult],
 ) -> None:
-    """Failures and metrics first: the run counts from the moment its ``run_state`` row is there."""
-    root = state_root.rstrip("/")
-    rows = [(t, f, run_id) for t, f in failed.items()] or [(None, None, run_id)]
-    spark.createDataFrame(rows, FAILED_SCHEMA).write.mode("append").parquet(f"{root}/failed_tables")
-    metrics = [tuple(asdict(r).values()) for r in results]
-    if metrics:
-        spark.createDataFrame(metrics, METRICS_SCHEMA).write.mode("append").parquet(f"{root}/run_metrics")
-    spark.createDataFrame([(run_id, common_last, _now())], RUN_STATE_SCHEMA).write.mode("append").parquet(f"{root}/run_state")
+    """Metrics first: the run counts from the moment its state rows are there."""
+    results, now = list(results), _now()
+    if results:
+        append(spark, results_frame(spark, results), f"{state}.run_metrics")
+    rows = [(r.table_name, r.table_name in failed, failed.get(r.table_name), None, run_id, now, OP_UPDATE) for r in results]
+    rows.append((COMMON, False, None, common_last, run_id, now, OP_UPDATE))
+    merge_into(spark, spark.createDataFrame(rows, RUN_STATE_SCHEMA), RUN_STATE, f"{state}.run_state", started=before.writes)
 
 
 def results_frame(spark: SparkSession, results: Iterable[RunResult]) -> DataFrame:
@@ -225,28 +246,32 @@ def run_tables(
     specs: Iterable[TableSpec],
     sources: Mapping[str, Source],
     targets: Mapping[str, str],
-    state_root: str,
+    state: str,
     to_time: Optional[datetime] = None,
     run_id: Optional[str] = None,
 ) -> DataFrame:
     """Hourly run over many tables: each from the common time (or its own retry floor) to ``to_time``.
 
     A failing table is reported and does not stop the others; it keeps its start time for the next
-    run. Without a common time the run starts from the beginning and rewrites the tables.
+    run. A table that the state does not know starts from the beginning and is rewritten. ``state`` is
+    the database of the state's tables.
     """
     run_id = run_id or uuid.uuid4().hex
     to_time = FS.as_utc(to_time) if to_time is not None else _now()
-    common, failed = load_state(spark, state_root)
-    if common is not None and to_time < common:
-        raise ValueError(f"end time {to_time} is before the last common time {common}")
-    results, still_failed = [], {}
+    before = load_state(spark, state)
+    if before.common is not None and to_time < before.common:
+        raise ValueError(f"end time {to_time} is before the last common time {before.common}")
+    results, failed = [], dict(before.failed)
     for spec in specs:
-        start = failed[spec.name] if spec.name in failed else common
+        start = failed[spec.name] if spec.name in failed else before.common if spec.name in before.known else None
         res = _isolated(spark, spec, sources[spec.name], targets[spec.name], start, to_time, start is None, run_id)
-        if not res.ok:
-            still_failed[spec.name] = start
+        if res.ok:
+            failed.pop(spec.name, None)
+        else:
+            failed[spec.name] = start
         results.append(res)
-    save_state(spark, state_root, run_id, to_time, still_failed, results)
+    all_here = before.known <= {r.table_name for r in results}
+    save_state(spark, state, run_id, before, to_time if all_here else before.common, failed, results)
     return results_frame(spark, results)
 
 
@@ -256,7 +281,7 @@ def force_tables(
     specs: Mapping[str, TableSpec],
     sources: Mapping[str, Source],
     targets: Mapping[str, str],
-    state_root: str,
+    state: str,
     from_time: Optional[datetime] = None,
     run_id: Optional[str] = None,
 ) -> DataFrame:
@@ -265,7 +290,8 @@ def force_tables(
     change."""
     run_id = run_id or uuid.uuid4().hex
     from_time = None if from_time is None else FS.as_utc(from_time)
-    common, failed = load_state(spark, state_root)
+    before = load_state(spark, state)
+    common, failed = before.common, dict(before.failed)
     chosen = resolve_tables(names, dict(specs))
     results = []
     for spec in chosen:
@@ -277,5 +303,5 @@ def force_tables(
             earlier = failed.get(spec.name)
             failed[spec.name] = from_time if from_time is None or earlier is None else min(from_time, earlier)
         results.append(res)
-    save_state(spark, state_root, run_id, common, failed, results)
+    save_state(spark, state, run_id, before, common, failed, results)
     return results_frame(spark, results)

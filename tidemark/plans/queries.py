@@ -575,6 +575,7 @@ def pass_through_types(spark, sf_dir):
 
 from tidemark.fixtures import files as FF  # noqa: E402
 from tidemark.session import scratch_path  # noqa: E402
+from tidemark.sinks.catalog import scratch_table  # noqa: E402
 
 
 def _pipeline_runs(spark, sf_dir):
@@ -582,7 +583,7 @@ def _pipeline_runs(spark, sf_dir):
 
     apply_engine_conf(spark)
     root = scratch_path(spark, "cash-landing")
-    target = scratch_path(spark, "cash-table")
+    target = scratch_table(spark, "cash-table")
     mid = FF.land_two_batches(spark, sf_dir, root)
     src = Source(root=root, batch_size=1000)
     r1 = run_table(spark, CASH_TRANSACTIONS, src, target, None, mid, full_refresh=True)
@@ -625,7 +626,7 @@ def _stored_cash(spark, sf_dir):
     from tidemark.sinks.tables import merge_into
     from tidemark.sources.readers import read_table
 
-    target = scratch_path(spark, "cash-merged")
+    target = scratch_table(spark, "cash-merged")
     merge_into(spark, _changes(spark, sf_dir), CASH_TRANSACTIONS, target)
     return target, read_table(spark, target)
 
@@ -665,13 +666,7 @@ def layout_sorted(spark, sf_dir):
     LATEST_LIVE + "SELECT C_STATUS, count(*) AS n_rows, CAST(round(sum(C_AMOUNT)) AS BIGINT) AS amount FROM LIVE GROUP BY C_STATUS",
 )
 def registered_table(spark, sf_dir):
-    import uuid
-
-    from tidemark.sinks.tables import register_table
-
-    target, _ = _stored_cash(spark, sf_dir)
-    name = f"tidemark_cash_{uuid.uuid4().hex[:8]}"
-    register_table(spark, name, target)
+    name, _ = _stored_cash(spark, sf_dir)
     return spark.sql(
         f"SELECT C_STATUS, count(*) AS n_rows, CAST(round(sum(C_AMOUNT)) AS BIGINT) AS amount FROM {name} GROUP BY C_STATUS"
     )
@@ -684,7 +679,7 @@ def stream_merge(spark, sf_dir):
 
     apply_engine_conf(spark)
     root = scratch_path(spark, "cash-stream-landing")
-    target = scratch_path(spark, "cash-stream-table")
+    target = scratch_table(spark, "cash-stream-table")
     FF.land_two_batches(spark, sf_dir, root, snapshot_file=False)
     schema = spark.read.parquet(f"{root}/*/BACK.0001").schema
     stream = change_stream(spark, f"{root}/*/BACK.*", schema, max_files_per_trigger=1)

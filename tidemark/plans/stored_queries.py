@@ -17,7 +17,8 @@ from tidemark.operators import keymaps as KM
 from tidemark.operators.merge import apply_changes, live_rows
 from tidemark.plans.queries import ACCOUNT_OUT, CMAP_CTE, CODES_CTE, MAP_OUT, NOW, ORACLE, SALT, comparable, query
 from tidemark.session import apply_engine_conf, scratch_path
-from tidemark.sinks.tables import merge_into
+from tidemark.sinks.catalog import scratch_table
+from tidemark.sinks.tables import append, merge_into
 from tidemark.sources.readers import read_changes, read_table
 from tidemark.spec import UPSERT_THEN_DELETE, TableSpec
 from tidemark.tables import CASH_TRANSACTIONS
@@ -35,10 +36,10 @@ def _batch(spark: SparkSession, sf_dir: str, op: str, ts: int, where: str = "tru
 
 
 def _stored(spark: SparkSession, batches, spec: TableSpec = SPEC) -> DataFrame:
-    path = scratch_path(spark, spec.name)
+    table = scratch_table(spark, spec.name)
     for batch, own in batches:
-        merge_into(spark, batch, own, path)
-    return read_table(spark, path)
+        merge_into(spark, batch, own, table)
+    return read_table(spark, table)
 
 
 @query("stored_schema_evolution", "SELECT o_orderkey AS k, o_orderstatus AS p, CASE WHEN o_orderkey % 3 = 1 THEN 'web' END AS channel FROM orders")
@@ -149,7 +150,7 @@ def customer_map_job(spark, sf_dir):
 
     apply_engine_conf(spark)
     cs = FX.customer_source(spark, sf_dir)
-    return _job_twice(spark, MapJob("customer-map", "", scratch_path(spark, "customer-map"), KM.CUSTOMER_CODE, SALT), cs.filter("c_custkey % 3 <> 0"), cs)
+    return _job_twice(spark, MapJob("customer-map", "", scratch_table(spark, "customer-map"), KM.CUSTOMER_CODE, SALT), cs.filter("c_custkey % 3 <> 0"), cs)
 
 
 @query(
@@ -162,7 +163,7 @@ def front_user_map_init(spark, sf_dir):
     from tidemark.plans.maps import MapJob, run_map
 
     apply_engine_conf(spark)
-    job = MapJob("front-user-map", _staged(spark, FX.front_user_source(spark, sf_dir), "front-users"), scratch_path(spark, "front-user-map"), "C_FRONT_USER_CODE", SALT)
+    job = MapJob("front-user-map", _staged(spark, FX.front_user_source(spark, sf_dir), "front-users"), scratch_table(spark, "front-user-map"), "C_FRONT_USER_CODE", SALT)
     run_map(spark, job, NOW)
     return comparable(read_table(spark, job.target))
 
@@ -177,7 +178,7 @@ def account_map_job(spark, sf_dir):
 
     apply_engine_conf(spark)
     accounts, customers = FX.account_source(spark, sf_dir), _staged(spark, FX.complete_customer_map(spark, sf_dir), "customers")
-    job = MapJob("account-map", "", scratch_path(spark, "account-map"), KM.ACCOUNT_CODE, SALT, customers)
+    job = MapJob("account-map", "", scratch_table(spark, "account-map"), KM.ACCOUNT_CODE, SALT, customers)
     return _job_twice(spark, job, accounts.filter("c_custkey % 3 <> 0"), accounts)
 
 
@@ -186,15 +187,209 @@ def cash_run_registers_customers(spark, sf_dir):
     """A table run adds the customers that the map lacks; running its files again adds none."""
     from tidemark.fixtures import files as FF
     from tidemark.plans.pipeline import KeyLookup, Source, run_table
-    from tidemark.sinks import versions as V
 
     apply_engine_conf(spark)
-    root, target, map_path = (scratch_path(spark, n) for n in ("lookup-landing", "lookup-table", "lookup-map"))
+    root, target, known_map = scratch_path(spark, "lookup-landing"), scratch_table(spark, "lookup-table"), scratch_table(spark, "lookup-map")
     FF.write_dataset(spark, sf_dir, root, "BACK.0001", FX.ONE_BATCH)
     known = FX.customer_lookup(spark, sf_dir).select(KM.CUSTOMER_CODE, F.lit("known").alias(KM.CUSTOMER_MAP))
-    V.append(spark, known, map_path)
+    append(spark, known, known_map)
     # The day partitions play no part here.
     spec = replace(CASH_TRANSACTIONS, partition=None, partition_source=None)
     for _ in range(2):
-        run_table(spark, spec, Source(root=root, lookup=KeyLookup(map_path, SALT)), target)
-    return read_table(spark, map_path).filter(F.col(KM.CUSTOMER_MAP) != "known")
+        run_table(spark, spec, Source(root=root, lookup=KeyLookup(known_map, SALT)), target)
+    return read_table(spark, known_map).filter(F.col(KM.CUSTOMER_MAP) != "known")
+
+
+# ---------------------------------------------------------------- schemas, files, registration (K6, K7, K8)
+
+
+@query(
+    "reconcile_nested",
+    "SELECT o_orderkey AS k, o_orderstatus AS a, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS b, "
+    "CAST(CAST(o_orderkey % 1000 AS DECIMAL(12, 2)) AS VARCHAR) AS amount, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS second FROM orders",
+)
+def reconcile_nested(spark, sf_dir):
+    """The second batch has a field more in a struct and in the structs of an array, and narrower decimals; the third lacks them again."""
+    status, priority, cust = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_custkey").cast("bigint")
+    plain = {"s": F.struct(status.alias("a")), "l": F.array(F.struct(F.lit(1).alias("x"))), "amount": (F.col("o_orderkey") % 1000).cast("decimal(12,2)")}
+    more = {"s": F.struct(priority.alias("b"), status.alias("a")), "l": F.array(F.struct(F.lit(1).alias("x"), cust.alias("y"))), "amount": (F.col("o_orderkey") % 1000).cast("decimal(8,1)")}
+    batches = [(_batch(spark, sf_dir, "I", n + 1, where, **cols), SPEC) for n, (where, cols) in enumerate((("o_orderkey % 4 = 1", plain), ("o_orderkey % 2 = 0", more), ("o_orderkey % 4 = 3", plain)))]
+    got = _stored(spark, batches)
+    return got.select("k", "s.a", "s.b", F.col("amount").cast("string").alias("amount"), F.col("l")[0]["y"].alias("second"))
+
+
+FILE_BYTES = 256 * 1024
+
+
+@query(
+    "file_sizes_bounded",
+    "SELECT o_orderstatus AS p, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_over, CAST(0 AS BIGINT) AS n_small_over_two FROM orders GROUP BY 1",
+)
+def file_sizes_bounded(spark, sf_dir):
+    """Two merges into a table of small target files: no file is far above the target, and at most two of a partition are below half of it."""
+    spec = replace(SPEC, file_bytes=FILE_BYTES)
+    got = _stored(spark, [(_batch(spark, sf_dir, "I", 1), spec), (_batch(spark, sf_dir, "U", 2, "o_orderkey % 3 = 0"), spec)])
+    files = got.groupBy("p", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+    small = F.count_if(F.col("size") < FILE_BYTES // 2)
+    return files.groupBy("p").agg(
+        F.sum("n").alias("n_rows"), F.count_if(F.col("size") > FILE_BYTES * 1.5).alias("n_over"), F.greatest(small - 2, F.lit(0)).cast("bigint").alias("n_small_over_two")
+    )
+
+
+@query("registered_after_append", "SELECT o_orderstatus AS p, count(*) AS n FROM orders GROUP BY 1")
+def registered_after_append(spark, sf_dir):
+    """Twelve appends to a table, which SQL then reads by its name."""
+    table = scratch_table(spark, "appended")
+    for n in range(12):
+        append(spark, _batch(spark, sf_dir, "I", 1, f"o_orderkey % 12 = {n}").select("k", "p"), table)
+    return spark.sql(f"SELECT p, count(*) AS n FROM {table} GROUP BY p")
+
+
+# ---------------------------------------------------------------- a backlog as one merge
+
+BATCHES = 5
+_BACKLOG_SQL = f"""
+WITH RECURSIVE c AS (
+  SELECT o_orderkey AS k, b, (o_orderkey * 7 + b * b * 5) % 11 AS ts, CASE WHEN (o_orderkey * 3 + b) % 4 = 0 THEN 'D' ELSE 'U' END AS op
+  FROM orders, range(1, {BATCHES + 1}) r(b) WHERE (o_orderkey + b) % 3 <> 0),
+s AS (
+  SELECT policy, o_orderkey AS k, 0 AS step, o_orderkey % 5 <> 0 AS live, o_orderkey % 5 <> 0 AS marked, (o_orderkey % 9) * 10 + 1 AS ord, o_orderkey % 9 AS ts, CAST(0 AS BIGINT) AS v
+  FROM orders, (VALUES ('event_time'), ('arrival'), ('tombstones')) p(policy)
+  UNION ALL
+  SELECT policy, s.k, step + 1, CASE WHEN takes THEN op <> 'D' ELSE live END, CASE WHEN takes THEN policy = 'tombstones' OR op <> 'D' ELSE marked END,
+         CASE WHEN takes THEN new_ord ELSE ord END, CASE WHEN takes THEN new_ts ELSE ts END, CASE WHEN takes THEN b ELSE v END
+  FROM (
+    SELECT s.*, c.b, c.op, c.ts AS new_ts, c.ts * 10 + CASE c.op WHEN 'D' THEN 3 ELSE 2 END AS new_ord,
+           c.k IS NOT NULL AND (policy = 'arrival' OR NOT (marked AND ord > c.ts * 10 + CASE c.op WHEN 'D' THEN 3 ELSE 2 END)) AS takes
+    FROM s LEFT JOIN c ON c.k = s.k AND c.b = s.step + 1) s
+  WHERE step < {BATCHES})
+SELECT policy, k, ts, v FROM s WHERE step = {BATCHES} AND live
+"""
+
+
+def _backlog(spark, sf_dir) -> DataFrame:
+    """Changes of several batches, out of order, with deletes; not every key in every batch."""
+    rows = FX.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(BATCHES).cast("bigint"))).alias("b")).filter("(k + b) % 3 <> 0")
+    ts = F.expr("(k * 7 + b * b * 5) % 11").cast("bigint")
+    return rows.select("k", F.expr("CASE WHEN (k * 3 + b) % 4 = 0 THEN 'D' ELSE 'U' END").alias("op_type"), ts.alias("current_ts"), ts.alias("op_ts"), F.col("b").alias("v"), "b")
+
+
+@query("backlog_merge", _BACKLOG_SQL)
+def backlog_merge(spark, sf_dir):
+    """Five batches merged as one leave what the batches in turn leave, under each late policy."""
+    apply_engine_conf(spark)
+    ts = (F.col("o_orderkey") % 9).cast("bigint")
+    first = FX.table(spark, sf_dir, "orders").filter("o_orderkey % 5 <> 0").select(
+        F.col("o_orderkey").alias("k"), F.lit("I").alias("op_type"), ts.alias("current_ts"), ts.alias("op_ts"), F.lit(0).cast("bigint").alias("v")
+    )
+    out = []
+    for policy, more in (("event_time", {}), ("arrival", {"late_policy": "arrival"}), ("tombstones", {"keep_tombstones": True})):
+        spec, table = TableSpec(name="backlog", keys=("k",), **more), scratch_table(spark, f"backlog-{policy}")
+        merge_into(spark, first, spec, table)
+        merge_into(spark, _backlog(spark, sf_dir), spec, table, batch="b")
+        out.append(live_rows(read_table(spark, table)).select(F.lit(policy).alias("policy"), "k", F.col("current_ts").alias("ts"), "v"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+# ---------------------------------------------------------------- run state, streams, hooks, file order
+
+
+@query(
+    "run_state_subset",
+    "WITH n AS (SELECT count(*) FILTER (o_orderkey % 2 = 0) AS even, count(*) FILTER (o_orderkey % 2 <> 0) AS odd FROM orders) "
+    "SELECT 1 AS run_no, 'even' AS table_name, true AS ok, even AS rows_in, false AS waits FROM n UNION ALL SELECT 1, 'odd', false, 0, true FROM n "
+    "UNION ALL SELECT 2, 'even', true, 0, false FROM n UNION ALL SELECT 3, 'even', true, 0, false FROM n UNION ALL SELECT 3, 'odd', true, odd, false FROM n",
+)
+def run_state_subset(spark, sf_dir):
+    """A run over one of two tables leaves what the other, failed one waits for."""
+    import time
+
+    from tidemark.fixtures import files as FF
+    from tidemark.plans.pipeline import Source, load_state, run_tables
+    from tidemark.sinks.catalog import SCRATCH_DATABASE
+
+    apply_engine_conf(spark)
+    sources, targets, names = {}, {}, ("even", "odd")
+    for n, name in enumerate(names):
+        sources[name], targets[name] = Source(root=scratch_path(spark, f"state-{name}")), scratch_table(spark, f"state-{name}")
+        rows = FX.table(spark, sf_dir, "orders").filter(f"o_orderkey % 2 = {n}")
+        image = F.struct(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"))
+        one = F.lit(1).cast("bigint")
+        rows.select(F.lit("I").alias("op_type"), one.alias("op_ts"), one.alias("current_ts"), F.when(F.lit(False), image).alias("before"), image.alias("after")).write.parquet(
+            f"{sources[name].root}/{FF.today()}/BACK.1"
+        )
+    time.sleep(1.1)
+    state = scratch_table(spark, "state").split(".")[1]
+    spark.sql(f"CREATE DATABASE {state} LOCATION '{scratch_path(spark, state)}'")
+
+    def broken(df):
+        raise RuntimeError("broken table step")
+
+    good = {n: TableSpec(name=n, keys=("k",)) for n in names}
+    runs = [[good["even"], replace(good["odd"], post=broken)], [good["even"]], [good["even"], good["odd"]]]
+    out = []
+    for k, specs in enumerate(runs, start=1):
+        done = run_tables(spark, specs, sources, targets, state)
+        waiting = list(load_state(spark, state).failed)
+        out.append(done.select(F.lit(k).alias("run_no"), "table_name", "ok", "rows_in", F.col("table_name").isin(waiting).alias("waits")))
+        time.sleep(1.1)
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def _stream_metrics_sql(batch: int, suffix: str) -> str:
+    return (
+        f"SELECT 'cash_transactions' AS table_name, CAST({batch} AS BIGINT) AS batch_id, count(*) AS rows_in, count(*) FILTER (op_type = 'I') AS inserts, "
+        f"count(*) FILTER (op_type = 'U') AS updates, count(*) FILTER (op_type = 'D') AS deletes, count(*) FILTER (op_type = 'R') AS snapshots FROM E{suffix}"
+    )
+
+
+@query(
+    "stream_run_metrics",
+    S.with_ctes(S.IMG_CTE, *S.batch_ctes(FX.BATCH_ONE, "1"), *S.batch_ctes(FX.BATCH_TWO, "2")) + _stream_metrics_sql(0, "1") + " UNION ALL " + _stream_metrics_sql(1, "2"),
+)
+def stream_run_metrics(spark, sf_dir):
+    """One row of counts per micro-batch of a stream, from its listener."""
+    import time
+
+    from tidemark.streaming import StreamMetrics, change_stream, stream_table
+
+    apply_engine_conf(spark)
+    root, table, kept = scratch_path(spark, "metrics-landing"), scratch_table(spark, "metrics-table"), scratch_table(spark, "stream-metrics")
+    for name, parts in (("BACK.0001", FX.BATCH_ONE), ("BACK.0002", FX.BATCH_TWO)):
+        FX.change_envelope(spark, sf_dir, parts).coalesce(1).write.parquet(f"{root}/{name}")
+        time.sleep(1.1)
+    stream = change_stream(spark, f"{root}/BACK.*", spark.read.parquet(f"{root}/BACK.0001").schema, max_files_per_trigger=1)
+    metrics = StreamMetrics()
+    spark.streams.addListener(metrics)
+    try:
+        spec = replace(CASH_TRANSACTIONS, partition=None, partition_source=None)
+        stream_table(spark, spec, stream, table, scratch_path(spark, "metrics-ckpt")).awaitTermination()
+        limit = time.monotonic() + 30
+        while len(metrics.rows()) < 2 and time.monotonic() < limit:  # events arrive a moment later
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(metrics)
+    metrics.flush(spark, kept)
+    return read_table(spark, kept).select("table_name", "batch_id", "rows_in", "inserts", "updates", "deletes", "snapshots")
+
+
+@query("table_step_hook", S.cash_ctes() + ", " + S.latest_cte() + " SELECT CASE WHEN C_AMOUNT >= 150000 THEN 'large' ELSE 'small' END AS size, count(*) AS n FROM L WHERE op_type <> 'D' GROUP BY 1")
+def table_step_hook(spark, sf_dir):
+    """A table's own step adds a column to its changes before they are merged."""
+    from tidemark.operators.changes import prepare_changes
+
+    apply_engine_conf(spark)
+    size = F.when(F.col("C_AMOUNT") >= 150000, "large").otherwise("small")
+    spec = replace(CASH_TRANSACTIONS, post=lambda df: df.withColumn("size", size))
+    merged = apply_changes(None, prepare_changes(FX.change_envelope(spark, sf_dir), spec), spec.keys, spec.ordering)
+    return merged.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("files_in_order", S.with_ctes(S.file_listing_cte()) + "SELECT path, row_number() OVER (ORDER BY mtime, path) - 1 AS place FROM FILES")
+def files_in_order(spark, sf_dir):
+    """Files by time, then by path."""
+    from tidemark.operators.ordinal import running
+    from tidemark.sources import files as FS
+
+    apply_engine_conf(spark)
+    return running(FS.order_files(FX.file_listing(spark, sf_dir)), ["mtime", "path"], ordinal="place").select("path", "place")

@@ -1,37 +1,40 @@
-"""Writing silver tables: merge a batch into a stored table, layout, registration, export.
+"""Writing silver tables: merge a batch into a stored table, layout, file sizes, appends.
 
-A stored table is a set of immutable folders, one or more per partition, and a version record that
-names the current ones (``versions``). A merge
+A stored table is a catalog table (``catalog``). A merge
 
 1. reduces the batch to one change per key and stages it once in the shared folder;
-2. finds the touched partitions: those of the batch rows and those that hold a batch key today (a
-   key may move); stored files whose key range cannot hold a batch key are skipped by their
-   statistics;
-3. reads only the touched partitions, merges, and writes the result once, to new folders;
-4. commits a version that points to the new folders. A run that dies before leaves the old table.
-
-Folders that a commit replaces stay until the next commit, for readers that have begun with them.
-Transactional formats (``delta``, ``hudi``, ``iceberg``) have a merge of their own: their tables are
-not written by folder, ``merge_into`` raises for them.
+2. reads keys and orderings of the stored rows that have a batch key: files that cannot hold one are
+   skipped by their statistics and by Bloom filters on the key columns. That tells which changes are
+   late and which partitions the others touch (a key may move);
+3. reads the touched partitions, leaves out the keys that changes win, adds the winners, and writes the
+   result once, to a new folder;
+4. switches the table's partitions to it. A run that dies before leaves the old table; one that dies
+   between two partitions is completed by merging its batch again, which changes nothing else.
+
+Formats with row-level operations of their own (``delta``, ``iceberg``, ``hudi``) are merged by those.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
-from typing import Callable, Optional
+from functools import reduce
+from typing import Optional
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.merge import apply_changes, latest_per_key, merge_latest
-from tidemark.session import apply_engine_conf, checkpoint_root, scratch_path
-from tidemark.sinks import versions as V
-from tidemark.spec import EXPORT_BATCH_ROWS, MAX_FILE_BYTES, UPSERT_THEN_DELETE, TableSpec
+from tidemark.operators import merge as M
+from tidemark.session import PUSHED_KEYS, apply_engine_conf, checkpoint_root, remove, scratch_path, size_on_disk
+from tidemark.sinks import catalog as C
+from tidemark.spec import OP_DELETE, SMALL_FILE_BYTES, UPSERT_THEN_DELETE, TableSpec
 
 # A staged batch whose files have at most this many bytes is broadcast into the merge joins. The
 # files are compressed, so this is far below what a broadcast may hold; above it the joins shuffle.
 BROADCAST_BATCH_BYTES = 32 * 1024 * 1024
+#: Rows of a table partition from which its files have Bloom filters on the keys.
+BLOOM_ROWS = 500
+#: Small files that an appended table may have before they are joined.
+SMALL_FILES = 8
 
 
 @dataclass
@@ -46,7 +49,7 @@ class MergeResult:
 def merge_frames(stored: Optional[DataFrame], changes: DataFrame, spec: TableSpec, full_refresh: bool = False,
                  broadcast_batch: bool = False) -> DataFrame:
     """Pure DataFrame form of a merge (no I/O): the new content of ``stored``."""
-    return apply_changes(
+    return M.apply_changes(
         None if full_refresh else stored,
         changes,
         spec.keys,
@@ -58,178 +61,197 @@ def merge_frames(stored: Optional[DataFrame], changes: DataFrame, spec: TableSpe
     )
 
 
-def layout(df: DataFrame, spec: TableSpec) -> DataFrame:
+def layout(df: DataFrame, spec: TableSpec, touched: int = 1) -> DataFrame:
     """Range-partition and sort for the file layout: rows of one table partition and nearby layout
     values end in the same files (clustering columns win over sort columns). The keys come last, so
-    that rows of one layout value can be split too. The number of ranges is that of the session's
-    shuffle partitions: left to AQE, a small batch over many table partitions would be one task that
-    writes all their files one after the other."""
+    that rows of one layout value can be split too. AQE joins ranges up to its advisory size, so few
+    rows make few files. Rows of many table partitions are files anyway: there the number of ranges is
+    that of the session's shuffle partitions, so that their files are written side by side."""
     cols = ([spec.partition] if spec.partition else []) + [c for c in spec.layout_cols if c in df.columns]
     if not cols:
-        return df
+        return df.hint("rebalance")
     cols += [k for k in spec.keys if k not in cols]
+    by = [F.col(f"`{c}`") for c in cols]
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *[F.col(f"`{c}`") for c in cols]).sortWithinPartitions(*[F.col(f"`{c}`") for c in cols])
+    ranged = df.repartitionByRange(n, *by) if touched >= n else df.repartitionByRange(*by)
+    return ranged.sortWithinPartitions(*by)
 
 
-def _size_on_disk(spark: SparkSession, path: str) -> int:
-    fs, p = V.filesystem(spark, path)
-    return int(fs.getContentSummary(p).getLength())
-
-
-def file_rows(bytes_on_disk: int, rows: int, target: int = MAX_FILE_BYTES) -> int:
+def file_rows(bytes_on_disk: int, rows: int, target: int) -> int:
     """Rows per file that keep files at or below ``target`` bytes, from measured bytes per row."""
     return max(1, int(target * max(rows, 1) / max(bytes_on_disk, 1)))
 
 
-def write_version(
-    spark: SparkSession, df: DataFrame, spec: TableSpec, path: str, last: Optional[V.Version],
-    touched: Optional[set[str]] = None, rows_per_file: Optional[int] = None,
-) -> tuple[V.Version, int]:
-    """Write rows to new folders and commit: they replace the partitions in ``touched`` (all, if None)."""
-    counted = Observation()
-    options = dict(spec.writer_options)
-    if rows_per_file:
-        options.setdefault("maxRecordsPerFile", str(rows_per_file))
-    laid = layout(df, spec).observe(counted, F.count(F.lit(1)).alias("rows"))
-    written = V.write_folders(laid, path, uuid.uuid4().hex, spec.partition, options)
-    before = last.folders if last else {}
-    kept = {} if touched is None else {k: f for k, f in before.items() if k not in touched}
-    version = V.Version(last.number + 1 if last else 1, df.schema, {**kept, **written}, [f for f in before.values() if f not in kept.values()], spec.partition)
-    V.commit(spark, path, version)
-    if last:
-        root = path.rstrip("/")
-        V.remove(spark, [f"{root}/data/{f}" for f in last.retired])
-        V.remove(spark, [f"{root}/_versions/{n}" for n in V.folder_names(spark, f"{root}/_versions") if n.isdigit() and int(n) < last.number])
-    return version, counted.get["rows"] if written else 0
-
-
-def _touched(stored: DataFrame, version: V.Version, latest: DataFrame, keys: list[str], broadcast: bool) -> set[str]:
-    """Partition values that batch rows go to or that hold a batch key; at most the table's
-    partitions and the batch's, which the version record lists as well."""
-    mine = latest.select(V.dir_value(latest, version.partition).alias(V.DIR)).distinct()
-    first = F.col(f"`{keys[0]}`")
-    ends = latest.agg(F.min(first).alias("low"), F.max(first).alias("high")).first()
-    if ends.low is not None:
-        stored = stored.filter(first.between(F.lit(ends.low), F.lit(ends.high)))
-    side = latest.select(*keys)
-    holding = (
-        stored.select(*[F.col(f"`{k}`") for k in keys], V.dir_value(stored, version.partition).alias(V.DIR))
-        .join(F.broadcast(side) if broadcast else side, keys, "left_semi").select(V.DIR)
-    )
-    return {r[0] for r in mine.union(holding).distinct().collect()}
+def _options(spec: TableSpec, rows_per_file: int, rows_per_partition: int) -> dict:
+    options = {"maxRecordsPerFile": str(rows_per_file), **spec.writer_options}
+    # Bloom filters where a merge looks for keys in files and a file is larger than what they save.
+    if spec.partition is not None and rows_per_partition >= BLOOM_ROWS:
+        for k in spec.keys:
+            options.setdefault(f"parquet.bloom.filter.enabled#{k}", "true")
+            options.setdefault(f"parquet.bloom.filter.expected.ndv#{k}", str(min(rows_per_file, rows_per_partition)))
+    return options
+
+
+def holding(stored: DataFrame, latest: DataFrame, n_keys: int, keys: list[str]) -> DataFrame:
+    """Stored rows that may have a key of the batch: a filter that the scan can push into its files. The
+    keys of a small batch are named one by one, of a larger one the least and largest of each column."""
+    if n_keys <= PUSHED_KEYS:
+        found = latest.select(*[F.col(f"`{k}`") for k in keys]).collect()  # at most PUSHED_KEYS rows
+        wanted = [F.col(f"`{k}`").isin(list({r[k] for r in found})) for k in keys]
+    else:
+        ends = latest.agg(*[f(F.col(f"`{k}`")).alias(f"{f.__name__}_{i}") for i, k in enumerate(keys) for f in (F.min, F.max)]).first()
+        wanted = [F.col(f"`{k}`").between(F.lit(ends[f"min_{i}"]), F.lit(ends[f"max_{i}"])) for i, k in enumerate(keys)]
+    return stored.filter(reduce(Column.__and__, wanted))
+
+
+def _stage(changes: DataFrame, spec: TableSpec, staged: str, batch: Optional[str]) -> tuple[DataFrame, int, int]:
+    """Write one change per key (and batch); what is read from there, keys, bytes."""
+    counted, by = Observation(), [*spec.keys, *([batch] if batch else [])]
+    latest = M.latest_per_key(changes, by, spec.ordering, deletes_win=spec.merge_mode == UPSERT_THEN_DELETE)
+    if batch:
+        latest = M.batch_arrays(latest, spec.keys, spec.ordering, batch)
+    latest.observe(counted, F.count(F.lit(1)).alias("keys")).write.parquet(staged)
+    spark = changes.sparkSession
+    return spark.read.schema(latest.schema).parquet(staged), counted.get["keys"], size_on_disk(spark, staged)[0]
 
 
 def merge_into(
     spark: SparkSession,
     changes: DataFrame,
     spec: TableSpec,
-    path: str,
+    table: str,
     full_refresh: bool = False,
     broadcast_bytes: int = BROADCAST_BATCH_BYTES,
+    batch: Optional[str] = None,
+    started: Optional[int] = None,
 ) -> MergeResult:
-    """Merge one prepared change batch into the table stored at ``path``."""
-    if spec.format != "parquet":
-        raise ValueError(f"{spec.name}: tables in format {spec.format!r} are merged by that format's own writer")
+    """Merge prepared changes into a stored table, which the first merge makes.
+
+    ``batch``: a column that numbers batches; the table becomes what merging them in turn would make it.
+    ``started``: what ``catalog.merges`` was when the caller read the table; ``ConcurrentWrite`` is raised
+    if another writer has come since then (by default: since this merge began)."""
     apply_engine_conf(spark)
     checkpoint_root(spark)
-    keys = list(spec.keys)
+    keys, part = list(spec.keys), spec.partition
+    started = C.merges(spark, table) if started is None else started
     clean = changes.filter(F.col("op_type").isNotNull())
     for k in keys:
         clean = clean.filter(F.col(f"`{k}`").isNotNull())
-    staged, counted = scratch_path(spark, f"batch-{spec.name}"), Observation()
-    latest_per_key(clean, keys, spec.ordering, deletes_win=spec.merge_mode == UPSERT_THEN_DELETE).observe(
-        counted, F.count(F.lit(1)).alias("keys")
-    ).write.parquet(staged)
+    staged, met_path, new = scratch_path(spark, f"batch-{spec.name}"), scratch_path(spark, f"met-{spec.name}"), None
     try:
-        n_keys, size = counted.get["keys"], _size_on_disk(spark, staged)
-        latest = spark.read.schema(latest_schema(clean, spec)).parquet(staged)
+        latest, n_keys, size = _stage(clean, spec, staged, batch)
         if n_keys == 0 and not full_refresh:
             # Nothing to apply: no write, the stored table stays as it is.
             return MergeResult(spec.name, 0, 0, 0, False)
-        last, small = V.load(spark, path), size <= broadcast_bytes
-        per_file = file_rows(size, n_keys)
-        if last is None or full_refresh:
-            merged = merge_latest(None, latest, keys, spec.ordering, spec.late_policy, spec.keep_tombstones)
-            _, rows = write_version(spark, merged, spec, path, last, None, per_file)
-            return MergeResult(spec.name, n_keys, None, rows, True)
-        stored = V.listed(spark, path, last) if last.folders else None
-        if spec.partition is None:
-            touched = {V.WHOLE, *last.folders}
+        if spec.format != "parquet":
+            return _merge_natively(spark, latest, spec, table, n_keys, batch)
+        small, per_file = size <= broadcast_bytes, file_rows(size, n_keys, spec.file_bytes)
+        first, stored = started < 0, None
+        if first or full_refresh:
+            winners = M.fold_batches(latest, spec.keys, None, spec.late_policy, spec.keep_tombstones) if batch else latest
+            merged, touched, scope = M.added_rows(winners, spec.keep_tombstones), None, None if first else C.rows(spark, table)
+            values = [r[0] for r in merged.select(F.col(f"`{part}`")).distinct().collect()] if part else []
+        else:
+            stored = C.rows(spark, table)
+            latest = M.reconcile_batch(stored, latest, batch is not None)
+            met = M.matched(holding(stored, latest, n_keys, keys), latest, keys, spec.ordering, [part] if part else [], small)
+            met.write.parquet(met_path)
+            met = spark.read.schema(met.schema).parquet(met_path)
+            if batch:
+                winners = M.fold_batches(latest, spec.keys, met, spec.late_policy, spec.keep_tombstones).checkpoint()
+            else:
+                winners = M.winning(latest, met, keys, spec.late_policy, small)
+            scope, touched, values = stored, None, []
+            if part:
+                won, p = winners.select(*[F.col(f"`{k}`") for k in keys]), F.col(f"`{part}`")
+                moved = met.join(F.broadcast(won) if small else won, keys, "left_semi").select(p)
+                # At most the table's partitions and the batch's, which the catalog lists as well.
+                values = touched = [r[0] for r in moved.union(M.added_rows(winners, spec.keep_tombstones).select(p)).distinct().collect()]
+                scope = stored.filter(p.isin([v for v in touched if v is not None]) | (p.isNull() if None in touched else F.lit(False)))
+            if not touched if part else winners.isEmpty():
+                return MergeResult(spec.name, n_keys, 0, 0, False)
+            merged = M.replace_rows(scope, winners, keys, spec.keep_tombstones, small)
+        old, held = ([], 0) if scope is None else C.folders(scope, part) if part else ([(None, C.location(spark, table))], 0)
+        # Rows of a partition, from the bytes of what it held and of the batch.
+        per_partition = int((held + size) / max(size / max(n_keys, 1), 1) / max(len(values), 1))
+        new = C.write_folder(layout(merged, spec, len(values)), C.home(spark, table), part, values, _options(spec, per_file, per_partition))
+        if first:
+            if C.exists(spark, table):
+                raise C.ConcurrentWrite(f"{table}: made by another writer")
+            C.create(spark, table, merged.schema, part, C.home(spark, table) if part else new.folder)
+            started = 0
         else:
-            touched = _touched(V.frame(spark, path, last, rows=stored), last, latest, keys, small)
-        scope = V.frame(spark, path, last, touched, rows=stored)
-        merged = merge_latest(scope, latest, keys, spec.ordering, spec.late_policy, spec.keep_tombstones, broadcast_batch=small)
-        _, rows = write_version(spark, merged, spec, path, last, touched, per_file)
-        return MergeResult(spec.name, n_keys, None if spec.partition is None else len(touched), rows, spec.partition is None)
+            C.widen(spark, table, merged.schema)
+        C.switch(spark, table, part, new, started, old)
+        return MergeResult(spec.name, n_keys, None if touched is None else len(touched), new.rows, touched is None)
+    except BaseException:
+        if new is not None and not _current(spark, table, new):
+            remove(spark, [new.folder])
+        raise
     finally:
-        V.remove(spark, [staged])
-
-
-def latest_schema(changes: DataFrame, spec: TableSpec):
-    return latest_per_key(changes, list(spec.keys), spec.ordering, deletes_win=spec.merge_mode == UPSERT_THEN_DELETE).schema
-
-
-def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Publish the current version of a stored table under a catalog name.
-
-    The catalog entry is made anew each time (files stay where they are), so later columns and
-    partitions show; partitions point to the folders of the version."""
-    version = V.load(spark, path)
-    if version is None:
-        raise ValueError(f"no table at {path}")
-    root, part = path.rstrip("/"), version.partition
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    if part is None:
-        spark.catalog.createTable(name, path=f"{root}/data/{version.folders[V.WHOLE]}" if version.folders else f"{root}/data/none", source="parquet", schema=version.schema)
-        return spark.table(name)
-    columns = [f for f in version.schema.fields if f.name != part] + [version.schema[part]]
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
-    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet PARTITIONED BY (`{part}`) LOCATION '{root}/data'")
-    values = {k: "NULL" if k == V.NULL else _quoted(_value(k)) for k in version.folders}
-    folders = list(version.folders.items())
-    for at in range(0, len(folders), 500):
-        clauses = " ".join(f"PARTITION (`{part}`={values[k]}) LOCATION '{root}/data/{f}'" for k, f in folders[at : at + 500])
-        spark.sql(f"ALTER TABLE {name} ADD {clauses}")
-    return spark.table(name)
-
-
-def _quoted(text: str) -> str:
-    """A SQL literal."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _value(directory: str) -> str:
-    """The partition value behind a folder name."""
-    return bytes.fromhex(directory[1:]).decode() if directory.startswith("x") else directory
-
-
-def export_partitions(
-    df: DataFrame,
-    client_factory: Callable[[], object],
-    batch_rows: int = EXPORT_BATCH_ROWS,
-) -> None:
-    """Send rows to an external system per Spark partition: one client per partition, rows in
-    batches of ``batch_rows``, one commit per batch.
-
-    The client needs ``insert(rows)``, ``commit()`` and ``close()``; ``insert`` must tolerate keys
-    that already exist, because a retried task sends its batches again.
-    """
-
-    def send(rows):
-        client = client_factory()
-        try:
-            buf = []
-            for r in rows:
-                buf.append(tuple(r))
-                if len(buf) >= batch_rows:
-                    client.insert(buf)
-                    client.commit()
-                    buf = []
-            if buf:
-                client.insert(buf)
-                client.commit()
-        finally:
-            client.close()
-
-    df.foreachPartition(send)
+        remove(spark, [staged, met_path])
+
+
+def _current(spark: SparkSession, table: str, new: C.Written) -> bool:
+    """Whether the table has begun to use a new folder."""
+    if not C.exists(spark, table):
+        return False
+    spark.catalog.refreshTable(table)
+    tail = new.folder.rsplit("/", 1)[1]
+    return tail in C.location(spark, table) or any(tail in folder for _, folder in C.folders(C.rows(spark, table), C.partition_column(spark, table))[0])
+
+
+def _merge_natively(spark: SparkSession, latest: DataFrame, spec: TableSpec, table: str, n_keys: int, batch: Optional[str]) -> MergeResult:
+    """The same merge as a row-level operation of the table's own format. A backlog in one merge and
+    deletes that win over later upserts need the stored rows' fold and are not expressed here."""
+    if batch or M.BATCH_ORDER in latest.columns:
+        raise ValueError(f"{spec.name}: merge batches one by one in event order into tables of format {spec.format!r}")
+    statement = native_merge(latest, spec, table)
+    if not C.exists(spark, table):
+        M.added_rows(latest, spec.keep_tombstones).limit(0).writeTo(table).using(spec.format).create()
+    statement.merge()
+    return MergeResult(spec.name, n_keys, None, 0, False)
+
+
+def native_merge(latest: DataFrame, spec: TableSpec, table: str):
+    """``DataFrame.mergeInto`` of one change per key: newer changes win, deletes remove or mark."""
+    if spec.keep_tombstones:
+        latest = latest.withColumn(M.TOMBSTONE, F.col("op_type") == OP_DELETE)
+    same = " AND ".join(f"source.`{k}` = {table}.`{k}`" for k in spec.keys)
+    order = [c for c in spec.ordering if c in latest.columns]
+    newer = F.lit(True)
+    if spec.late_policy == "event_time" and order:
+        newer = F.expr(f"struct({', '.join(f'source.`{c}`' for c in order)}) >= struct({', '.join(f'{table}.`{c}`' for c in order)})")
+    is_delete = F.expr(f"source.op_type = '{OP_DELETE}'")
+    merge = latest.alias("source").mergeInto(table, F.expr(same)).withSchemaEvolution()
+    if not spec.keep_tombstones:
+        merge = merge.whenMatched(newer & is_delete).delete().whenNotMatched(~is_delete).insertAll()
+    else:
+        merge = merge.whenNotMatched().insertAll()
+    return merge.whenMatched(newer).updateAll()
+
+
+def append(spark: SparkSession, df: DataFrame, table: str, target: int = SMALL_FILE_BYTES) -> None:
+    """Add rows to a stored table without partitions, which the first rows make; AQE sizes the files.
+
+    When more than ``SMALL_FILES`` files are below ``target`` bytes on average, all are joined."""
+    if not C.exists(spark, table):
+        new = C.write_folder(df.hint("rebalance"), C.home(spark, table), None)
+        C.create(spark, table, df.schema, None, new.folder)
+        return
+    C.widen(spark, table, df.schema)
+    have = spark.table(table).schema.fields
+    rows = df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in have])
+    rows.hint("rebalance").write.insertInto(table)
+    compact(spark, table, target)
+
+
+def compact(spark: SparkSession, table: str, target: int = SMALL_FILE_BYTES) -> bool:
+    """Join the files of a table without partitions if they are many and small."""
+    where, started = C.location(spark, table), C.merges(spark, table)
+    size, files = size_on_disk(spark, where)
+    if files <= SMALL_FILES or size >= target * files:
+        return False
+    new = C.write_folder(spark.table(table).hint("rebalance"), C.home(spark, table), None)
+    C.switch(spark, table, None, new, started, [(None, where)])
+    return True

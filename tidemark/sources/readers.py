@@ -12,10 +12,10 @@ from typing import Optional, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
-from pyspark.sql.utils import AnalysisException
 
 from tidemark.operators.envelope import align_union
-from tidemark.sinks import versions as V
+from tidemark.session import filesystem
+from tidemark.sinks import catalog as C
 
 ORDERING_COLS = ("op_ts", "current_ts")
 
@@ -75,27 +75,20 @@ def read_envelope(
     return align_union(frames, strict=strict)
 
 
-def read_table(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame:
-    """A stored table by path (or by catalog name when ``location`` has no ``/``): its current version,
-    with its own schema, or a plain folder of files with the columns of all of them."""
-    if "/" not in location and ":" not in location:
-        return spark.table(location)
-    version = V.load(spark, location)
-    if version is not None:
-        return V.frame(spark, location, version)
-    return _reader(spark, fmt).load(location)
+def is_name(location: str) -> bool:
+    """Whether a location is the name of a stored table rather than a path."""
+    return "/" not in location and ":" not in location
 
 
-def _not_found(e: Exception) -> bool:
-    s = str(e)
-    return "PATH_NOT_FOUND" in s or "Path does not exist" in s or "TABLE_OR_VIEW_NOT_FOUND" in s
+def read_table(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame:
+    """A stored table by its catalog name, or a plain folder of files with the columns of all of them."""
+    return C.rows(spark, location) if is_name(location) else _reader(spark, fmt).load(location)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of the path (works for any store Spark reads)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+    fs, p = filesystem(spark, path)
+    return fs.exists(p)
 
 
 def table_if_exists(spark: SparkSession, location: str, fmt: str = "parquet") -> Optional[DataFrame]:
@@ -104,14 +97,9 @@ def table_if_exists(spark: SparkSession, location: str, fmt: str = "parquet") ->
     Only "not found" means "does not exist"; any other read error is raised, so a broken read can
     never be mistaken for an empty target (which would trigger a rebuild).
     """
-    if ("/" in location or ":" in location) and not path_exists(spark, location):
+    if not (C.exists(spark, location) if is_name(location) else path_exists(spark, location)):
         return None
-    try:
-        df = read_table(spark, location, fmt)
-    except AnalysisException as e:
-        if _not_found(e):
-            return None
-        raise
+    df = read_table(spark, location, fmt)
     return None if df.isEmpty() else df
 
 

@@ -31,6 +31,8 @@ SHIFT_HOURS = 7
 CLAMP_LOW = "0001-01-01 00:00:00"
 # Largest target file size (bytes).
 MAX_FILE_BYTES = 60 * 1024 * 1024
+# Files below this size count as small (bytes).
+SMALL_FILE_BYTES = 50 * 1024 * 1024
 # Rows per commit when exporting to a relational database.
 EXPORT_BATCH_ROWS = 5000
 
@@ -66,6 +68,7 @@ class TableSpec:
     lookup_key: Optional[str] = None  # new values of this column go to the run's key lookup
     format: str = "parquet"
     post: Optional[Callable[[DataFrame], DataFrame]] = None
+    file_bytes: int = MAX_FILE_BYTES
     writer_options: dict = field(default_factory=dict)
     aliases: tuple[str, ...] = ()
 

@@ -1,5 +1,5 @@
-"""Structured Streaming wrapper: file stream -> foreachBatch(prepare + merge)."""
+"""Structured Streaming: file stream -> foreachBatch(prepare + merge), many tables, metrics."""
 
-from tidemark.streaming.stream import change_stream, stream_table
+from tidemark.streaming.stream import StreamMetrics, change_stream, stream_table, stream_tables
 
-__all__ = ["change_stream", "stream_table"]
+__all__ = ["StreamMetrics", "change_stream", "stream_table", "stream_tables"]
