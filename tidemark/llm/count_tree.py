@@ -57,7 +57,7 @@ def overlap_bound(p: np.ndarray, q: np.ndarray) -> int:
 
 def folded(points: np.ndarray) -> np.ndarray:
     """Points over half as many groups."""
-    return points[:, 0::2].astype(np.uint16) + points[:, 1::2]
+    return points[:, 0::2].astype(np.uint32) + points[:, 1::2]
 
 
 class CountTree:
@@ -124,6 +124,6 @@ def likely_pairs(
                     folds = folded(folds)
                 trees[at] = CountTree(folds, sizes)
             for r in askers:
-                point = left[r][0].reshape(at, -1).sum(1, dtype=np.int64).astype(points.dtype if at == own else np.uint16)
+                point = left[r][0].reshape(at, -1).sum(1, dtype=np.int64).astype(points.dtype if at == own else np.uint32)
                 for s in rows[list(trees[at].search(point, left[r][1], percent))]:
                     yield int(r), int(s)

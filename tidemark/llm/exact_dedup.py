@@ -70,10 +70,21 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``docs`` whose text no kept row has already; all columns of ``docs`` stay.
 
     Rows are picked by (id, hash), not by id alone: an id that several different texts carry
-    keeps each of them that stays.
+    keeps each of them that stays. Of rows that repeat both id and text, and of equal texts that all lack
+    an id, the one whose columns hash lowest stays.
     """
-    key, h = fresh(docs, "kept_id", "kept_hash")
+    key, h, row = fresh(docs, "kept_id", "kept_hash", "kept_row")
     verdicts = duplicate_groups(docs, id_col, text_col, keep, carry={"h": content_hash})
     losers = verdicts.filter(~F.col("kept")).select(F.col(id_col).alias(key), F.col("h").alias(h)).distinct()
     hashed = docs.withColumn(h, content_hash(text_of(docs, text_col)))
-    return hashed.join(losers, hashed[id_col].eqNullSafe(losers[key]) & (hashed[h] == losers[h]), "left_anti").drop(h)
+    kept = hashed.join(losers, hashed[id_col].eqNullSafe(losers[key]) & (hashed[h] == losers[h]), "left_anti")
+    repeated = verdicts.filter("kept").groupBy(F.col(id_col).alias(key), F.col("h").alias(h)).count().filter("count > 1").drop("count").checkpoint()
+    if repeated.isEmpty():
+        return kept.drop(h)
+    again = kept[id_col].eqNullSafe(repeated[key]) & (kept[h] == repeated[h])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    # The rows are reduced on the map side, so a row that repeats without end meets as one row a task.
+    one = kept.join(repeated, again, "left_semi").withColumn(row, whole).groupBy(F.col(f"`{id_col}`").alias(key), h).agg(
+        F.min_by(row, F.xxhash64(F.to_json(row))).alias(row)
+    )
+    return kept.join(repeated, again, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(one.select(f"{row}.*"))

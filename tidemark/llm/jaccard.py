@@ -20,7 +20,8 @@ of any size are cut into tiles of ``TILE`` nodes, pairs of one star into parts o
 
 Null and empty texts have no shingles and link with nothing. Nodes are 64-bit hashes of whole sets. A
 null id joins its group but never names it unless all ids there are null. Repeated rows are
-copies. An empty table gives an empty result.
+copies. Texts of any length are read whole, a long one takes memory in proportion to its words. Columns
+are picked by name, so others may have any name. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -217,10 +218,10 @@ def _after(point: np.ndarray, h: int, n_often: int, frequent: bool) -> np.ndarra
     in later cells, where more groups are left out, most pairs do not pass again.
     """
     group = (h % (1 << 64)) >> (65 - len(point).bit_length())
-    out = point.astype(np.uint16)
+    out = point.astype(np.uint32)
     if group:
         out[:group] = 0
-        out[0] = 0 if frequent else min(n_often, 0xFFFF)
+        out[0] = 0 if frequent else n_often
     return out
 
 
@@ -283,7 +284,8 @@ def _tree_pairs(cells: DataFrame, nodes: DataFrame, shared, percent: int) -> Dat
 
 
 def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: int) -> DataFrame:
-    """Per row: id, row_key (hash of id and text), n and the smallest id of its group."""
+    """Per row: id, row_key (hash of id and text), n, the smallest id of its group, and the row_key that
+    stands for the group: of the rows with the smallest id the one with the smallest row_key."""
     spark = docs.sparkSession
     checkpoint_root(spark)
     text = text_of(docs, text_col)
@@ -336,9 +338,10 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: i
     remove(spark, [placed_path])
 
     grouped = points.filter("n > 0").join(final, "node", "left").select("id", "row_key", "n", F.coalesce("component", "node").alias("group"))
-    smallest = grouped.groupBy("group").agg(F.min("id").alias("smallest")).checkpoint()
-    named = grouped.join(smallest, "group").select("id", "row_key", "n", "smallest")
-    alone = points.filter("n = 0").select("id", "row_key", "n", F.col("id").alias("smallest"))
+    # Null ids come last.
+    smallest = grouped.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row_key")).alias("s")).select("group", F.col("s.id").alias("smallest"), F.col("s.row_key").alias("kept_key")).checkpoint()
+    named = grouped.join(smallest, "group").select("id", "row_key", "n", "smallest", "kept_key")
+    alone = points.filter("n = 0").select("id", "row_key", "n", F.col("id").alias("smallest"), F.col("row_key").alias("kept_key"))
     return named.unionByName(alone)
 
 
@@ -349,11 +352,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` that carry the smallest id of their group, with all their columns.
+    """One document of each group, the one with the smallest id, with all its columns.
 
-    Rows that share id and text count as one document and stay or go together.
+    Of different texts that share the smallest id, or have no id, the one with the smallest hash stays. Rows
+    that share id and text are one document listed more than once and stay or go together.
     """
     key, gone_key = fresh(docs, "similar_key", "similar_gone")
-    gone = _groups(docs, id_col, text_col, percent, sample).filter(~F.col("id").eqNullSafe(F.col("smallest"))).select(F.col("row_key").alias(gone_key)).distinct()
+    gone = _groups(docs, id_col, text_col, percent, sample).filter("row_key != kept_key").select(F.col("row_key").alias(gone_key)).distinct()
     keyed = docs.withColumn(key, F.xxhash64(docs[id_col], text_of(docs, text_col)))
     return keyed.join(gone, keyed[key] == gone[gone_key], "left_anti").drop(key)

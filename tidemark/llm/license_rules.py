@@ -180,4 +180,40 @@ no-copying | may not be reproduced | may not be reproduced (?:or distributed )?w
 permission | reproduced with | reproduced with (?:the )?(?:kind )?permission of
 permission | reprinted | reprinted (?:with|by) permission
 copyright | copyright | copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?
+cern-ohl-s-2.0 | cern open hardware licen | cern open hardware licen[sc]e VER2(?: 0)? strongly reciprocal
+cern-ohl-w-2.0 | cern open hardware licen | cern open hardware licen[sc]e VER2(?: 0)? weakly reciprocal
+cern-ohl-p-2.0 | cern open hardware licen | cern open hardware licen[sc]e VER2(?: 0)? permissive
+cern-ohl-1.2 | cern open hardware licen | cern open hardware licen[sc]e VER1 2
+tapr-ohl-1.0 | tapr open hardware | tapr open hardware license(?: VER1 0)?
+solderpad-0.51 | solderpad hardware | solderpad hardware licen[sc]e(?: VER0 51)?
+hippocratic-2.1 | hippocratic | hippocratic license(?: VER2 1)?
+sspl-1.0 | server side public | server side public license(?: VER1(?: 0)?)?
+commons-clause | commons clause | commons clause(?: license condition VER1 0)?
+polyform-noncommercial-1.0 | polyform | polyform noncommercial license(?: VER?1 0 0)?
+polyform-small-business-1.0 | polyform | polyform small business license(?: VER?1 0 0)?
+prosperity-3.0 | prosperity public | prosperity public license(?: VER?3 0 0)?
+parity-7.0 | parity public | parity public license(?: VER?7 0 0)?
+openrail-m | openrail | (?:creativeml |bigcode )?openrail m(?: license)?
+llama-community | llama | llama (?:\d )+?community license(?: agreement)?
+gemma | gemma terms | gemma terms of use
+cdla-permissive-2.0 | community data license agreement | community data license agreement permissive VER2(?: 0)?
+cdla-permissive-1.0 | community data license agreement | community data license agreement permissive VER1(?: 0)?
+cdla-sharing-1.0 | community data license agreement | community data license agreement sharing VER1(?: 0)?
+odc-by-1.0 | open data commons attribution | open data commons attribution license(?: VER1 0)?
+pddl-1.0 | public domain dedication and license | (?:open data commons )?public domain dedication and license(?: VER1 0)?
+dl-de-by-2.0 | datenlizenz deutschland | datenlizenz deutschland (?:namensnennung )?VER2 0
+etalab-2.0 | licence ouverte | licence ouverte(?: open licence)?(?: VER2 0)?
+ogl-uk-3.0 | open government licen | open government licen[sc]e VER3 0
+ogl-uk | open government licen | open government licen[sc]e
+ofl-1.1 | sil open font | sil open font license VER1 1
+ofl | open font license | (?:sil )?open font license
+ubuntu-font-1.0 | ubuntu font | ubuntu font licen[sc]e(?: VER1 0)?
+bitstream-vera | bitstream vera | bitstream vera fonts copyright
+blueoak-1.0.0 | blue oak model | blue oak model license(?: 1 0 0)?
+mulan-psl-2.0 | mulan permissive | mulan permissive software license VER2
+cecill-2.1 | cecill | (?:free software license agreement )?cecill VER2 1
+cecill-b | cecill b | cecill b(?: free software license agreement)?
+upl-1.0 | universal permissive | universal permissive license(?: VER1 0)?
+zlib | this software is provided as is without any express or implied warranty | this software is provided as is without any express or implied warranty in no event will the authors
+isc | permission to use copy modify and or distribute this software | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
 """

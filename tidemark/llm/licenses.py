@@ -6,17 +6,19 @@ match is an interval of words. Rules go by priority: an interval that lies insid
 higher priority has found is suppressed, so "general public license" inside "gnu general public
 license version 3" adds nothing. Base phrases are found beside the rules and always stay.
 
-Null and empty texts have no words, no labels and score 0. Ids pass through as they are; an empty
-table gives an empty result.
+Null and empty texts have no words, no labels and score 0; a very long text is scanned whole, in time in
+proportion to its length and matches. Ids pass through as they are, repeated rows give repeated results,
+columns are picked by name, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -80,14 +82,16 @@ class Scanner:
         words = words_of(text)
         line = f" {b' '.join(words).decode()} "
         held = {word for _, word in self.automaton.iter(line)}
-        base = [(line.count(" ", 0, at), label) for phrase, label in PHRASES.items() if phrase in held for at in _places(line, f" {phrase} ")]
+        # Where each word begins; a word's number is the place of its start in there.
+        begins = list(accumulate((len(w) + 1 for w in line[1:-1].split(" ")), initial=1)) if held else []
+        base = [(bisect_left(begins, at + 1), label) for phrase, label in PHRASES.items() if phrase in held for at in _places(line, f" {phrase} ")]
         found: list[tuple[str, int, int, float]] = []
         starts: list[int] = []
         reach: list[int] = []  # the farthest end of an interval that starts here or before
         for k in sorted(k for word in held for k in self.by_keyword.get(word, ())):
             rule, fresh = self.rules[k], []
             for m in self.patterns[k].finditer(line):
-                first = line.count(" ", 0, m.start()) - 1
+                first = bisect_left(begins, m.start())
                 end = first + m.group().count(" ") + 1
                 at = bisect_right(starts, first)
                 if not at or reach[at - 1] < end:

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.llm.columns import let, text_of
 from tidemark.llm.trigrams import trigram_query
@@ -70,6 +71,12 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 
 
+_SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
+_NONE = f"cast(array() as {_SPANS})"
+#: Matches whose offsets are summed up in one array.
+CHUNK = 256
+
+
 def trigram_index(docs: DataFrame, vocabulary: Sequence[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Postings (trigram, key) of the trigrams in ``vocabulary``."""
     grams = F.array(*[F.lit(g) for g in vocabulary])
@@ -78,8 +85,11 @@ def trigram_index(docs: DataFrame, vocabulary: Sequence[str], id_col: str = "doc
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = text_of(docs, text_col)
-    return docs.select(docs[id_col].alias("id"), text.alias("text"), F.coalesce(docs[id_col].cast("long"), F.xxhash64(text)).alias("key"))
+    """(id, text, key): whole numbers are their own key, other ids and null have a hash. Rows that share a
+    key share their candidate rules, which are verified on each text anyway."""
+    text, id = text_of(docs, text_col), docs[id_col]
+    own = id.cast("long") if isinstance(docs.schema[id_col].dataType, IntegralType) else F.when(id.isNotNull(), F.xxhash64(id.cast("string")))
+    return docs.select(id.alias("id"), text.alias("text"), F.coalesce(own, F.xxhash64(text)).alias("key"))
 
 
 def candidates(docs: DataFrame, rules: Sequence[SecretRule], id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[int]]:
@@ -116,7 +126,9 @@ def spans_of(text: Column, rule: SecretRule, order: int) -> Column:
     pattern = F.lit(rule.pattern)
 
     def located(found: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string>>)").alias("spans"))
+        """Offsets of the matches, in chunks: an array is copied when an item is added, so no array may
+        grow with the number of matches."""
+        chunks = F.transform(F.sequence(F.lit(0), F.greatest(F.size(found) - 1, F.lit(0)), F.lit(CHUNK)), lambda k: F.slice(found, k + 1, CHUNK))
 
         def step(state: Column, m: Column) -> Column:
             begin = state["at"] + m["gap"]
@@ -124,14 +136,19 @@ def spans_of(text: Column, rule: SecretRule, order: int) -> Column:
             span = F.array(F.struct(begin.alias("start"), F.lit(order).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind")))
             return F.struct(end.alias("at"), F.when(m["group"] >= rule.least, F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
 
-        return F.aggregate(found, start, step, lambda state: state["spans"])
+        def chunk(state: Column, part: Column) -> Column:
+            done = F.aggregate(part, F.struct(state["at"].alias("at"), F.expr(_NONE).alias("spans")), step)
+            return let(done, lambda d: F.struct(d["at"].alias("at"), F.concat(state["parts"], F.array(d["spans"])).alias("parts")))
+
+        start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{_SPANS}>)").alias("parts"))
+        return F.flatten(F.aggregate(chunks, start, chunk, lambda state: state["parts"]))
 
     gaps = F.split(text, rule.pattern, -1)
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     groups = F.regexp_extract_all(text, pattern, F.lit(rule.group))
     found = let(F.struct(gaps.alias("gaps"), groups.alias("groups")), lambda x: F.transform(
         matches, lambda m, k: F.struct(F.length(F.get(x["gaps"], k)).alias("gap"), F.length(m).alias("size"), F.length(F.get(x["groups"], k)).alias("group"))))
-    none = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string>>)")
+    none = F.expr(_NONE)
     return F.when(text.rlike(rule.pattern), let(found, located)).otherwise(none)
 
 
@@ -139,7 +156,7 @@ def find_secrets(docs: DataFrame, rules: Sequence[SecretRule] = RULES, id_col: s
     """Per row: id and ``spans``: array<struct<start, rank, end, kind>> by start, then rule order."""
     by_key, full = candidates(docs, rules, id_col, text_col)
     rows = keyed(docs, id_col, text_col).join(by_key, "key", "left")
-    none = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string>>)")
+    none = F.expr(_NONE)
     parts = [
         spans_of(F.col("text"), rule, k) if k in full
         else F.when(F.array_contains("rules", k), spans_of(F.col("text"), rule, k)).otherwise(none)
