@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from conftest import SF001, SF01
 from tidemark.llm import lm, mixing, queries, toxicity
 from tidemark.llm.attention import BACK, LENGTH, STEP, Attention, averaged
-from tidemark.llm.bpe import Vocabulary
+from tidemark.llm.bpe import Vocabulary, byte_alphabet
 
 SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
     ("doc_id", T.LongType()), ("text", T.StringType()), ("source", T.StringType()), ("size", T.StringType()), ("row", T.LongType()), ("draw", T.StringType()))])
@@ -167,6 +167,38 @@ def test_gradients():
             assert grads[name][at] == pytest.approx((ends[0] - ends[1]) / 2e-5, abs=2e-4), name
 
 
+def test_grouped_outputs_have_right_gradients_and_sum_to_one():
+    rng = np.random.default_rng(4)
+    model = Attention(12, rng.dirichlet(np.ones(12)), groups=3)
+    sequences = [rng.integers(0, 12, n) for n in (60, 3, 0, 40)]
+    inputs, targets, _ = model.windows(sequences)
+    whole = model.log_probabilities(inputs)
+    assert np.exp(whole).sum(2) == pytest.approx(1, abs=1e-5)
+    picked = [whole.reshape(-1, 12)[k, t] for k, t in enumerate(targets.ravel()) if t >= 0]
+    assert model.each(sequences, batch=2) == pytest.approx(picked, rel=1e-4)
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    _, grads = model.gradients(inputs, targets)
+    for name in ("out", "bias", "group", "group_bias", "embed", "w2"):
+        value = model.p[name]
+        for _ in range(6):
+            at = tuple(rng.integers(0, n) for n in value.shape)
+            was, ends = value[at], []
+            for step in (1e-5, -1e-5):
+                value[at] = was + step
+                ends.append(model.gradients(inputs, targets)[0])
+            value[at] = was
+            assert grads[name][at] == pytest.approx((ends[0] - ends[1]) / 2e-5, abs=2e-4), name
+
+
+def test_training_holds_a_chunk_and_sees_every_sequence():
+    rng, asked = np.random.default_rng(5), []
+    model, sequences = Attention(9), [rng.integers(0, 9, 100) for _ in range(30)]
+    windows = model.windows
+    model.windows = lambda some: asked.append(len(some)) or windows(some)
+    assert model.train(iter(sequences), steps_at_least=1, chunk=20) == 3000
+    assert sum(asked) == 30 and max(asked) == 5  # four windows each
+
+
 def test_training_lowers_the_loss_and_models_average():
     rng = np.random.default_rng(3)
     follow = rng.permutation(30)
@@ -186,6 +218,9 @@ def test_training_lowers_the_loss_and_models_average():
 
 # language model
 
+lm_bytes = {c: b for b, c in enumerate(byte_alphabet())}
+
+
 def tokens(text):
     return (text or "").encode().lower().split() + [b""]
 
@@ -209,6 +244,28 @@ def test_lm_base(spark, head):
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_tokens_mix_the_model_with_the_shares_of_frequent_words():
+    shares = lm.Shares(np.array([2, 1, 1]), np.log([0.5, 1.0, 1.0]), np.log([0.3, 0.2, 0.1]))
+    each = np.log([0.5, 0.4, 0.1, 0.2, 0.3, 0.25])  # word 0, a rare word of two ids, word 1, the end
+    by_hand = [lm.MIX * 0.5 * 0.4 * 0.5 + (1 - lm.MIX) * 0.3, lm.MIX * 0.1 * 0.2, lm.MIX * 0.3 + (1 - lm.MIX) * 0.2, lm.MIX * 0.25 + (1 - lm.MIX) * 0.1]
+    assert np.exp(shares.mixed(each, np.array([0, 2 + 2, 1]))) == pytest.approx(by_hand)
+    assert np.exp(shares.mixed(each[-1:], np.array([], np.int64))) == pytest.approx(by_hand[-1:])
+
+
+def test_words_are_whole_subword_sequences(spark):
+    vocabulary = Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["The Caf\u00e9 unbelievableness qqqzzzxxx " + "x" * 3000, "", "the the"]
+    corpus = lm.count_corpus(spark.createDataFrame([(t,) for t in texts[2:]], "text string"), vocabulary)
+    reader = lm.Reader(type("Shared", (), {"value": corpus}))
+    encoder = lm.Encoder(vocabulary)
+    for text in texts:
+        words, numbers = reader.read(text)
+        ids = [k for w in words for k in encoder.piece(w.decode())]
+        spelled = b"".join(bytes(lm_bytes[c] for c in vocabulary.tokens[k].removesuffix(vocabulary.mark)) for k in ids)
+        assert spelled == b"".join(words)
+        assert list(lm._sequence(reader.ids(numbers))) == [*corpus.own[ids], 0]
+
+
 def test_lm_without_rows_or_training(spark):
     vocabulary = Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
     assert lm.score_documents(frame(spark, []), vocabulary, F.lit(False)).count() == 0
