@@ -20,6 +20,16 @@ from tidemark.session import checkpoint_root
 PID = "_pid"
 
 
+def in_order(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """The rows range-partitioned by ``order`` and checkpointed, with the number of their range as ``PID``.
+
+    Several calls of ``running_in`` can follow on the one staged order.
+    """
+    checkpoint_root(df.sparkSession)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *[F.col(c) for c in order]).withColumn(PID, F.spark_partition_id()).checkpoint(eager=True)
+
+
 def running(
     df: DataFrame,
     order: Sequence[str],
@@ -32,20 +42,28 @@ def running(
 
     ``sums``/``maxes`` map output name -> numeric column. Maxes of an empty prefix are null.
     """
+    sums, maxes = dict(sums or {}), dict(maxes or {})
+    values = {**{f"_v_s_{k}": v for k, v in sums.items()}, **{f"_v_m_{k}": v for k, v in maxes.items()}}
+    staged = in_order(df.select("*", *[v.alias(k) for k, v in values.items()]), order, partitions)
+    out = running_in(staged, order, {k: F.col(f"_v_s_{k}") for k in sums}, {k: F.col(f"_v_m_{k}") for k in maxes}, ordinal)
+    return out.drop(PID, *values)
+
+
+def running_in(
+    staged: DataFrame,
+    order: Sequence[str],
+    sums: Mapping[str, Column] | None = None,
+    maxes: Mapping[str, Column] | None = None,
+    ordinal: str | None = "ordinal",
+) -> DataFrame:
+    """``running`` over what ``in_order`` staged by ``order``, or over an earlier result of this function; ``PID`` stays."""
     sums = dict(sums or {})
     maxes = dict(maxes or {})
     if ordinal:
         sums[ordinal] = F.lit(1)
-    checkpoint_root(df.sparkSession)
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    columns = staged.columns
     values = {**{f"_s_{k}": v for k, v in sums.items()}, **{f"_m_{k}": v for k, v in maxes.items()}}
-    staged = (
-        df.select("*", *[v.alias(k) for k, v in values.items()])
-        .repartitionByRange(n, *[F.col(c) for c in order])
-        .withColumn(PID, F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    staged = staged.select("*", *[v.alias(k) for k, v in values.items()])
     w = Window.partitionBy(PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = staged.select(
         "*",
@@ -64,7 +82,7 @@ def running(
         *[F.max(f"_tm_{k}").over(before).alias(f"_om_{k}") for k in maxes],
     )
     joined = local.join(F.broadcast(offsets), PID, "inner")
-    out = [F.col(f"`{c}`") for c in df.columns]
+    out = [F.col(f"`{c}`") for c in columns]
     for k in sums:
         e = F.col(f"_ls_{k}") + F.col(f"_os_{k}")
         out.append((e - 1).alias(k) if k == ordinal else e.alias(k))

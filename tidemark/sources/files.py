@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tidemark.operators.ordinal import running
+from tidemark.operators.ordinal import in_order, running, running_in
 from tidemark.spec import CHANGE_PREFIX, LOCAL_ZONE, SNAPSHOT_PREFIX, name_list
 
 SNAPSHOT = "snapshot"
@@ -152,17 +152,17 @@ def batch_files_isolated(files: DataFrame, size: int, special: Column) -> DataFr
     if size < 1:
         raise ValueError("batch size must be >= 1")
     # The place of a special file starts a new count after it, so a batch begins where its distance to
-    # the last special file says so. Ordinal and last special file come from one staged order; what is
-    # left is a running count of the batch starts over the same order.
-    flagged = files.withColumn("_special", special.cast("boolean"))
-    base = running(flagged, ORDER)
-    marked = running(base, ["ordinal"], maxes={"_last_special": F.when(F.col("_special"), F.col("ordinal"))}, ordinal=None)
+    # the last special file says so. Ordinals, last special files and the running count of the batch
+    # starts come from one staged order.
+    staged = in_order(files.withColumn("_special", special.cast("boolean")), ORDER)
+    base = running_in(staged, ORDER)
+    marked = running_in(base, ORDER, maxes={"_last_special": F.when(F.col("_special"), F.col("ordinal"))}, ordinal=None)
     last = F.col("_last_special")
     island_start = F.when(last.isNull(), F.lit(0)).otherwise(last + 1)
     pos = F.col("ordinal") - island_start
     start = F.when(F.col("_special"), F.col("ordinal")).otherwise(island_start + F.floor(pos / size) * size)
     starts = marked.withColumn("batch_start", start.cast("bigint"))
-    numbered = running(starts, ["ordinal"], sums={"_n_batches": (F.col("ordinal") == F.col("batch_start")).cast("bigint")}, ordinal=None)
+    numbered = running_in(starts, ORDER, sums={"_n_batches": (F.col("ordinal") == F.col("batch_start")).cast("bigint")}, ordinal=None)
     return numbered.select(
         *[c for c in files.columns],
         "ordinal",
