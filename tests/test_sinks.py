@@ -353,3 +353,23 @@ def test_rows_appended_to_an_unpartitioned_table(spark, tmp_dir):
     assert sorted(r.k for r in read_table(spark, path).collect()) == [1, 2, 3, 4, 5]
     merge_into(spark, rows(3).withColumn("op_type", F.lit("D")).withColumn("current_ts", F.lit(2).cast("bigint")), spec, path)
     assert sorted(r.k for r in read_table(spark, path).collect()) == [1, 2, 4, 5]
+
+
+def test_a_batch_of_many_keys_in_small_files_is_not_broadcast(spark, monkeypatch):
+    """Files of a few bytes a key would let millions of keys into a broadcast; neither the merge nor the planner does that."""
+    spec, path = TableSpec(name="t", keys=("k",), partition="p"), C.scratch_table(spark, "t")
+    one = lambda n: F.lit(n).cast("bigint")
+    rows = lambda op, ts: spark.range(300_000).select(F.col("id").alias("k"), F.lit("a").alias("p"), F.lit(op).alias("op_type"), one(ts).alias("current_ts"), one(ts).alias("op_ts"))
+    merge_into(spark, rows("I", 1), spec, path)
+    plans, matched = [], T.M.matched
+
+    def seen(stored, latest, *more):
+        plans.append(matched(stored, latest, *more)._jdf.queryExecution().sparkPlan().toString())
+        return matched(stored, latest, *more)
+
+    monkeypatch.setattr(T.M, "matched", seen)
+    merge_into(spark, rows("D", 2), spec, path)
+    merge_into(spark, rows("I", 3).filter("k < 100000"), spec, path)
+    assert "BroadcastHashJoin" not in plans[0] and "SortMergeJoin" in plans[0]
+    assert "BroadcastHashJoin" in plans[1]
+    assert read_table(spark, path).agg(F.count("k"), F.max("k")).first() == (100_000, 99_999)

@@ -183,12 +183,17 @@ def reconcile_batch(stored: DataFrame, latest: DataFrame, arrays: bool) -> DataF
     return _as_types(latest, {**_common(stored, latest), CHANGES: whole})
 
 
+def joining(side: DataFrame, broadcast: bool) -> DataFrame:
+    """A join side that is broadcast, or never: the planner takes the compressed files of a batch for its size in memory."""
+    return F.broadcast(side) if broadcast else side.hint("merge")
+
+
 def matched(stored: DataFrame, latest: DataFrame, keys: Sequence[str], ordering: Sequence[str], more: Sequence[str], broadcast: bool) -> DataFrame:
     """(keys, ``_stored_ord``, ``_batch_ord``, more) of the stored rows whose key the batch has; reads no other column."""
     ordering = [c for c in ordering if c in stored.columns]
     side = latest.select(*[F.col(f"`{k}`") for k in keys], _batch_order(latest, ordering).alias("_batch_ord"))
     mine = stored.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keys, *more])], ordering_or_null(stored, ordering).alias("_stored_ord"))
-    return mine.join(F.broadcast(side) if broadcast else side, list(keys))
+    return mine.join(joining(side, broadcast), list(keys))
 
 
 def ordering_or_null(df: DataFrame, ordering: Sequence[str]) -> Column:
@@ -209,7 +214,7 @@ def winning(latest: DataFrame, met: DataFrame, keys: Sequence[str], late_policy:
     if late_policy != EVENT_TIME:
         return winners
     stale = met.filter(F.col("_stored_ord") > F.col("_batch_ord")).select(*[F.col(f"`{k}`") for k in keys])
-    return winners.join(F.broadcast(stale) if broadcast else stale, list(keys), "left_anti")
+    return winners.join(joining(stale, broadcast), list(keys), "left_anti")
 
 
 def added_rows(winners: DataFrame, keep_tombstones: bool) -> DataFrame:
@@ -221,7 +226,7 @@ def added_rows(winners: DataFrame, keep_tombstones: bool) -> DataFrame:
 def replace_rows(scope: DataFrame, winners: DataFrame, keys: Sequence[str], keep_tombstones: bool, broadcast: bool) -> DataFrame:
     """Stored rows without the keys of the winners, and the rows that these leave."""
     won = winners.select(*[F.col(f"`{k}`") for k in keys])
-    kept = scope.join(F.broadcast(won) if broadcast else won, list(keys), "left_anti")
+    kept = scope.join(joining(won, broadcast), list(keys), "left_anti")
     kept, added = align(kept, added_rows(winners, keep_tombstones))
     return kept.unionByName(added, allowMissingColumns=True)
 
