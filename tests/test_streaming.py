@@ -123,3 +123,15 @@ def test_stream_registers_new_keys(spark, tmp_dir):
     assert sorted(r.v for r in read_table(spark, known).collect()) == ["c0", "c1", "c2"]
     assert read_table(spark, target).count() == 6
     assert read_table(spark, known).filter(F.col("v_MAP").isNull()).count() == 0
+
+
+def test_the_stream_query_merges_once_for_each_data_set(spark, tmp_dir, monkeypatch):
+    """Data sets of several files: every merge rewrites what it touches, so files one by one would rewrite it as often."""
+    from tidemark.streaming import stream as ST
+
+    spark.read.parquet(f"{SF001}/orders.parquet").repartition(3).write.parquet(f"{tmp_dir}/orders.parquet")
+    merges, merge_into = [], ST.merge_into
+    monkeypatch.setattr(ST, "merge_into", lambda *a, **k: merges.append(merge_into(*a, **k)))
+    got = Q.stream_merge(spark, tmp_dir)
+    assert len(merges) == 2
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, Q.stream_merge(spark, SF001).collect()))

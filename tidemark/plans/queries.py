@@ -681,8 +681,9 @@ def stream_merge(spark, sf_dir):
     root = scratch_path(spark, "cash-stream-landing")
     target = scratch_table(spark, "cash-stream-table")
     FF.land_two_batches(spark, sf_dir, root, snapshot_file=False)
-    schema = spark.read.parquet(f"{root}/*/BACK.0001").schema
-    stream = change_stream(spark, f"{root}/*/BACK.*", schema, max_files_per_trigger=1)
+    first = spark.read.parquet(f"{root}/*/BACK.0001")
+    # A micro-batch takes a landed data set, however many files it has: each merge rewrites what it touches.
+    stream = change_stream(spark, f"{root}/*/BACK.*", first.schema, max_files_per_trigger=len(first.inputFiles()))
     q = stream_table(spark, CASH_TRANSACTIONS, stream, target, scratch_path(spark, "cash-stream-ckpt"))
     q.awaitTermination()
     return comparable(read_table(spark, target).select(*CASH_COLS))
