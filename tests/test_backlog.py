@@ -1,10 +1,13 @@
 import itertools
 import random
+import re
 
 import pytest
 
 from tidemark.operators.merge import apply_changes, common_type, merge_backlog
-from tidemark.spec import ARRIVAL, EVENT_ORDER, EVENT_TIME, UPSERT_THEN_DELETE
+from tidemark.sinks import catalog as C
+from tidemark.sinks.tables import merge_into
+from tidemark.spec import ARRIVAL, EVENT_ORDER, EVENT_TIME, UPSERT_THEN_DELETE, TableSpec
 from pyspark.sql.types import StructType
 
 S = "k int, op_type string, current_ts bigint, op_ts bigint, v int, b bigint"
@@ -26,6 +29,26 @@ def test_one_merge_of_a_backlog_equals_its_batches_in_turn(spark, mode, policy,
     assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, want.select(cols).collect()))
 
 
+def test_lists_of_a_backlog_are_not_shuffled(spark):
+    """A key's changes and its stored row meet in one shuffle of plain rows, and the list is made behind it."""
+    rows = spark.createDataFrame([(k, "U", b, b, k, b) for k in range(20) for b in (1, 2)], S)
+    start = apply_changes(None, rows.filter("b = 1").drop("b"), ["k"]).checkpoint()
+    plan = merge_backlog(start, rows, ["k"], "b")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_collect_list" in plan and not re.search(r"Exchange[^\n]*\n[^\n]*partial_collect_list", plan), plan
+
+
+@pytest.mark.parametrize("broadcast_bytes", (0, 1 << 25))
+def test_a_stored_backlog_moves_keys_between_partitions(spark, broadcast_bytes):
+    """Small batches are broadcast, others not: the same table, and what a key leaves behind goes."""
+    spec, table = TableSpec(name="t", keys=("k",), partition="p"), C.scratch_table(spark, "t")
+    ddl = "k int, p string, op_type string, current_ts bigint, op_ts bigint, b bigint"
+    merge_into(spark, spark.createDataFrame([(k, "a", "I", 1, 1, 0) for k in range(6)], ddl).drop("b"), spec, table)
+    rows = [(0, "b", "U", 2, 2, 1), (1, "a", "D", 2, 2, 1), (1, None, "I", 3, 3, 2), (2, "c", "U", 0, 0, 1), (3, "b", "U", 5, 5, 1), (3, "c", "U", 4, 4, 2), (9, "d", "D", 2, 2, 1)]
+    done = merge_into(spark, spark.createDataFrame(rows, ddl), spec, table, broadcast_bytes=broadcast_bytes, batch="b")
+    assert done.batch_keys == 5 and done.touched_partitions == 3
+    assert {(r.k, r.p) for r in C.rows(spark, table).collect()} == {(0, "b"), (1, None), (2, "a"), (3, "b"), (4, "a"), (5, "a")}
+
+
 def test_common_types():
     t = lambda ddl: StructType.fromDDL(f"x {ddl}")["x"].dataType
     for stored, incoming, want in (

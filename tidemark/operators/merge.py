@@ -172,17 +172,6 @@ def align(stored: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]
 # ---------------------------------------------------------------- a merge in steps, for stored tables
 
 
-def reconcile_batch(stored: DataFrame, latest: DataFrame, arrays: bool) -> DataFrame:
-    """``reconcile`` for staged changes; those of a backlog hold their rows in arrays."""
-    if not arrays:
-        return reconcile(stored, latest)
-    change = latest.schema[CHANGES].dataType.elementType
-    mine = {f.name: f.dataType for f in stored.schema.fields}
-    row = StructType([StructField(f.name, common_type(mine[f.name], f.dataType, f.name) if f.name in mine else f.dataType) for f in change["row"].dataType.fields])
-    whole = ArrayType(StructType([StructField(f.name, row if f.name == "row" else f.dataType) for f in change.fields]))
-    return _as_types(latest, {**_common(stored, latest), CHANGES: whole})
-
-
 def joining(side: DataFrame, broadcast: bool) -> DataFrame:
     """A join side that is broadcast, or never: the planner takes the compressed files of a batch for its size in memory."""
     return F.broadcast(side) if broadcast else side.hint("merge")
@@ -201,8 +190,6 @@ def ordering_or_null(df: DataFrame, ordering: Sequence[str]) -> Column:
 
 
 def _batch_order(latest: DataFrame, ordering: Sequence[str]) -> Column:
-    if CHANGES in latest.columns:
-        return F.lit(None).cast("struct<o0:bigint>")
     if BATCH_ORDER in latest.columns:
         return F.col(BATCH_ORDER)
     return ordering_or_null(latest, [c for c in ordering if c in latest.columns])
@@ -233,52 +220,75 @@ def replace_rows(scope: DataFrame, winners: DataFrame, keys: Sequence[str], keep
 
 # ---------------------------------------------------------------- a backlog of batches as one merge
 
-CHANGES = "_changes"
+BATCH_NO = "_batch_no"
+
+
+def latest_per_batch(
+    df: DataFrame, keys: Sequence[str], batch: str, ordering: Sequence[str] = ("current_ts", "op_ts"), deletes_win: bool = False
+) -> DataFrame:
+    """One row per key and batch, the batch's number as ``BATCH_NO``."""
+    latest = latest_per_key(df, [*keys, batch], ordering, deletes_win)
+    return latest.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{batch}`").cast("bigint").alias(BATCH_NO), *[F.col(f"`{c}`") for c in latest.columns if c not in (*keys, batch)])
 
 
-def batch_arrays(latest: DataFrame, keys: Sequence[str], ordering: Sequence[str], batch: str) -> DataFrame:
-    """One row per key with its winning change of each batch, batches in order. ``latest`` has one
-    row per key and batch, so an array has at most as many items as the backlog has batches."""
-    ordering = [c for c in ordering if c in latest.columns]
-    payload = [c for c in latest.columns if c not in (*keys, batch, BATCH_ORDER)]
-    own = ordering_or_null(latest, ordering)
-    one = F.struct(
-        F.col(f"`{batch}`").cast("bigint").alias("batch"), (F.col(BATCH_ORDER) if BATCH_ORDER in latest.columns else own).alias("batch_ord"),
-        own.alias("own_ord"), F.struct(*[F.col(f"`{c}`") for c in payload]).alias("row"),
-    )
+def fold_batches(
+    latest: DataFrame, stored: Optional[DataFrame], keys: Sequence[str], ordering: Sequence[str], late_policy: str, keep_tombstones: bool,
+    more: Sequence[str] = (), tasks: Optional[int] = None,
+) -> DataFrame:
+    """(keys, ``_row``, ``_from``): the change of each key that merging its batches in turn would leave, null
+    if that is the stored row, and what its stored rows have in the columns ``more``, if any are named.
+
+    ``latest`` has one row per key and batch, so the list of a key's changes has at most as many items as
+    the backlog has batches. They meet the ordering of the stored row in the one shuffle that brings
+    them together. The state that a key passes through is the ordering of its row (none while it is absent)
+    and the place of the change that made it: 0 is the stored row, -1 no row. A key that ends absent gives
+    its last delete."""
+    payload = [c for c in latest.columns if c not in (*keys, BATCH_NO)]
+    named, packed = [F.col(f"`{k}`") for k in keys], lambda cols: F.struct(*[F.col(f"`{c}`") for c in cols])
+    ordering = [c for c in ordering if c in latest.columns and (stored is None or c in stored.columns)]
+    order = latest.select(ordering_or_null(latest, ordering).alias("o")).schema["o"].dataType
+    nothing = F.lit(None).cast(order)
+    rows = latest.select(*named, F.struct(F.col(BATCH_NO).alias("batch"), packed(payload).alias("row")).alias("_change"), nothing.alias("_stored_ord"), F.lit(False).alias("_stored"))
+    if stored is not None:
+        own_ord = ordering_struct(ordering) if ordering and "op_type" in stored.columns else nothing
+        mine = stored.select(*named, own_ord.alias("_stored_ord"), F.lit(True).alias("_stored"), *([packed(more).alias("_more")] if more else []))
+        rows = rows.unionByName(mine, allowMissingColumns=True)
+    found = [F.collect_list("_change").alias("_changes"), F.max("_stored_ord").alias("_stored_ord"), F.max("_stored").alias("_stored")]
+    if "_more" in rows.columns:
+        found.append(F.collect_set("_more").alias("_from"))
+    # A key has few rows by now, so they are shuffled as they are, and lists made only behind the shuffle.
+    # A run that died between two partitions may have left a key twice: the later row counts.
+    met = rows.repartition(*([tasks] if tasks else []), *named).groupBy(*named).agg(*found)
     by_batch = lambda a, b: F.signum(a["batch"] - b["batch"]).cast("int")
-    return latest.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.array_sort(F.collect_list(one), by_batch).alias(CHANGES))
-
-
-def fold_batches(arrays: DataFrame, keys: Sequence[str], met: Optional[DataFrame], late_policy: str, keep_tombstones: bool) -> DataFrame:
-    """The change of each key that merging its batches in turn would leave, if it is not the stored row.
-
-    The state that a key passes through is the ordering of its row (none while it is absent) and the
-    place of the change that made it: 0 is the stored row, -1 no row. A key that ends absent gives its
-    last delete."""
-    if met is None:
-        known = arrays.withColumn("_stored_ord", F.lit(None)).withColumn("_stored", F.lit(False))
-    else:
-        # A run that died between two partitions may have left a key twice: the later row counts.
-        stored = met.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.max("_stored_ord").alias("_stored_ord"), F.lit(True).alias("_stored"))
-        known = arrays.join(stored, list(keys), "left").withColumn("_stored", F.coalesce("_stored", F.lit(False)))
-    order = arrays.schema[CHANGES].dataType.elementType["own_ord"].dataType
+    known = met.filter(F.size("_changes") > 0).withColumn("_changes", F.array_sort("_changes", by_batch))
     state = lambda ord, at: F.struct(ord.cast(order).alias("ord"), at.cast("int").alias("at"))
     start = state(F.col("_stored_ord"), F.when(F.col("_stored"), 0).otherwise(-1))
-    numbered = F.transform(CHANGES, lambda c, i: F.struct((i + 1).alias("at"), c["batch_ord"].alias("batch_ord"), c["own_ord"].alias("own_ord"), (c["row"]["op_type"] == OP_DELETE).alias("gone")))
+
+    def own(row: Column) -> Column:
+        if not ordering:
+            return nothing
+        parts = [*[row[c] for c in ordering], op_rank(row["op_type"])]
+        return F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)]).cast(order)
 
     def step(s: Column, c: Column) -> Column:
-        stays = F.coalesce((s["at"] >= 0) & (s["ord"] > c["batch_ord"]), F.lit(False)) if late_policy == EVENT_TIME else F.lit(False)
-        made = state(c["own_ord"], c["at"])
+        batch_ord = c["row"][BATCH_ORDER] if BATCH_ORDER in payload else own(c["row"])
+        stays = F.coalesce((s["at"] >= 0) & (s["ord"] > batch_ord), F.lit(False)) if late_policy == EVENT_TIME else F.lit(False)
+        made = state(own(c["row"]), c["at"])
         if not keep_tombstones:
-            made = F.when(c["gone"], state(F.lit(None), F.lit(-1))).otherwise(made)
+            made = F.when(c["row"]["op_type"] == OP_DELETE, state(F.lit(None), F.lit(-1))).otherwise(made)
         return F.when(stays, s).otherwise(made)
 
+    numbered = F.transform("_changes", lambda c, i: F.struct((i + 1).alias("at"), c["row"].alias("row")))
     ended = known.withColumn("_end", F.aggregate(numbered, start, step)["at"])
-    deletes = F.filter(CHANGES, lambda c: c["row"]["op_type"] == OP_DELETE)
-    row = F.when(F.col("_end") > 0, F.element_at(CHANGES, F.greatest(F.col("_end"), F.lit(1)))["row"]).otherwise(F.element_at(deletes, -1)["row"])
-    changed = ended.filter((F.col("_end") > 0) | (F.col("_end") < 0) & F.col("_stored"))
-    return changed.select(*[F.col(f"`{k}`") for k in keys], row.alias("_row")).select(*[F.col(f"`{k}`") for k in keys], "_row.*")
+    deletes = F.filter("_changes", lambda c: c["row"]["op_type"] == OP_DELETE)
+    row = F.when(F.col("_end") > 0, F.element_at("_changes", F.greatest(F.col("_end"), F.lit(1)))["row"])
+    row = row.when((F.col("_end") < 0) & F.col("_stored"), F.element_at(deletes, -1)["row"])
+    return ended.select(*named, row.alias("_row"), *[c for c in ("_from",) if c in ended.columns])
+
+
+def changed(folded: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The winning changes that ``fold_batches`` found, as rows."""
+    return folded.filter("_row IS NOT NULL").select(*[F.col(f"`{k}`") for k in keys], "_row.*")
 
 
 def merge_backlog(
@@ -292,13 +302,12 @@ def merge_backlog(
     keep_tombstones: bool = False,
 ) -> DataFrame:
     """What applying the batches that column ``batch`` numbers, one after the other, makes of ``current``."""
-    latest = latest_per_key(changes.filter(F.col("op_type").isNotNull()).dropna(subset=list(keys)), [*keys, batch], ordering, merge_mode == UPSERT_THEN_DELETE)
-    arrays = batch_arrays(latest, keys, ordering, batch)
-    if current is None:
-        return added_rows(fold_batches(arrays, keys, None, late_policy, keep_tombstones), keep_tombstones)
-    arrays = reconcile_batch(current, arrays, True)
-    met = matched(current, arrays, keys, ordering, [], False)
-    return replace_rows(current, fold_batches(arrays, keys, met, late_policy, keep_tombstones), keys, keep_tombstones, False)
+    clean = changes.filter(F.col("op_type").isNotNull()).dropna(subset=list(keys))
+    latest = latest_per_batch(clean, keys, batch, ordering, merge_mode == UPSERT_THEN_DELETE)
+    if current is not None:
+        latest = reconcile(current, latest)
+    winners = changed(fold_batches(latest, current, keys, ordering, late_policy, keep_tombstones), keys)
+    return added_rows(winners, keep_tombstones) if current is None else replace_rows(current, winners, keys, keep_tombstones, False)
 
 
 def merge_latest(
