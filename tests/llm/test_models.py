@@ -78,6 +78,29 @@ def test_mix_of_an_empty_table(spark):
     assert mixing.training_order(frame(spark, [])).count() == 0
 
 
+def test_what_is_taken_is_the_sum_of_the_curriculums_steps(spark):
+    """At the end of each step every source has given the integral of its schedule, in words of its target."""
+    def integral(t, schedule, n=4000):
+        x = (np.arange(n) + 0.5) / n
+        w = np.interp(x, [p[0] for p in schedule], [p[1] for p in schedule])
+        return w[x < t].sum() / w.sum()
+
+    got = mixing.mix(frame(spark, MIXED), steps=8).collect()
+    by_row = {(i, size(t)): s for i, t, s in MIXED}
+    sources = sorted({s for _, _, s in MIXED}, key=lambda s: (s is None, (s or "").encode()))
+    gave, target = {s: np.zeros(8) for s in sources}, {}
+    for r in got:
+        s = by_row[r.doc_id, r["size"]]
+        assert len(r.by_step) == 8 and min(r.by_step) >= 0 and sum(r.by_step) == r.taken == sum(c.taken for c in r.copies)
+        gave[s] += r.by_step
+        target[s] = r.target
+    for k, s in enumerate(sources):
+        want = [target[s] * integral((j + 1) / 8, mixing.SCHEDULES[k % 3]) for j in range(8)]
+        assert gave[s].cumsum() == pytest.approx(want, abs=0.5 + 1e-3 * target[s]), s
+    plan = queries.op2_mix(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert f"{mixing.demanded(1 / mixing.STEPS, mixing.SCHEDULES[0])}"[:8] in plan
+
+
 @pytest.mark.parametrize("schedule", mixing.SCHEDULES)
 def test_moments_invert_the_integral(spark, schedule):
     def integral(t, steps=20_000):
