@@ -366,3 +366,47 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.train(docs, labels.filter("false")) is None
     assert {r.score for r in toxicity.score_documents(docs, None).collect()} == {0.0}
     assert toxicity.score_documents(frame(spark, []), None).count() == 0
+
+
+@pytest.fixture(scope="module")
+def labelled_words(spark):
+    """8,000 texts; one in four is toxic and says so with a word of its hundred, which the others never have."""
+    rng = np.random.default_rng(3)
+    rows = [(k, " ".join([f"w{x}" for x in rng.integers(0, 200, 12)] + [f"bad{k % 100}" if k % 4 == 0 else "good"]), int(k % 4 == 0)) for k in range(8000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return table.select("doc_id", "text"), table.select("doc_id", "toxic")
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, labelled_words, monkeypatch):
+    """What the tasks go through, and what the thresholds count, are all labelled rows."""
+    docs, labels = labelled_words
+    seen, counted = [], []
+    whole, mean_rows = toxicity._round, toxicity._counted
+    monkeypatch.setattr(toxicity, "_round", lambda rows, *a: seen.append(rows.count()) or whole(rows, *a))
+    monkeypatch.setattr(toxicity, "_counted", lambda rows, model: counted.append(rows.count()) or mean_rows(rows, model))
+    monkeypatch.setattr(toxicity, "CHUNK_CHARS", 1 << 17)
+    model = toxicity.train(docs, labels, rounds=2, passes=2)
+    held = sum(crc32(str(k).encode()) // 3 % toxicity.CALIBRATE == 0 for k in range(8000))
+    assert seen == [8000 - held] * 2 and counted == [held]
+    got = toxicity.score_documents(docs, model).join(labels, "doc_id").collect()
+    assert np.mean([(r.score >= toxicity.CUT) == r.toxic for r in got]) > 0.97
+
+
+def test_toxicity_rows_of_tasks_are_weighted_by_how_often_they_moved(spark):
+    texts = spark.createDataFrame([("bad one", 1), ("good two", 0)] * 40, "text string, toxic int").repartition(4)
+    learner = toxicity.Learner(toxicity.Model.start())
+    before = learner.model.embed.copy()
+    toxicity._round(texts, learner, np.ones(2), 0, 2)
+    used = np.unique(toxicity.Words(["bad one", "good two"]).rows)
+    moved = np.flatnonzero((learner.model.embed != before).any(1))
+    assert len(moved) and set(moved) <= set(used) and not learner.model.embed[toxicity.ROWS].any()
+    assert learner.model.scores(["bad one"])[0] > learner.model.scores(["good two"])[0]
+
+
+def test_toxicity_thresholds_from_counts_equal_those_from_rows():
+    rng = np.random.default_rng(6)
+    logits = np.round(rng.normal(0, 2, 500) * 8) / 8
+    toxic = (logits + rng.normal(0, 1, 500) > 1).astype(int)
+    cells, place = np.unique(logits, return_inverse=True)
+    n, hits = np.bincount(place), np.bincount(place, toxic).astype(int)
+    assert toxicity.best_threshold(cells, hits, n) == toxicity.best_threshold(logits, toxic)
