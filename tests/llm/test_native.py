@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF001
-from tidemark.llm import exact_dedup, quality, queries, secrets
+from tidemark.llm import exact_dedup, memory, quality, queries, secrets
 from tidemark.llm.trigrams import trigram_query
 
 SCHEMA = T.StructType([
@@ -176,3 +176,26 @@ def test_quality_rules_agree_with_labels(spark):
     kept = queries.op7_quality_rules(spark, sf).filter("n_words >= 20").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
     share = {r.quality: r.share for r in kept.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
     assert share[1] > 0.97 and share[0] < 0.1
+
+
+def test_a_lean_task_releases_what_it_freed(monkeypatch):
+    released = []
+    monkeypatch.setattr(memory, "release", lambda: released.append(1))
+    batches = memory.lean(lambda some: (x for x in some))(iter([1, 2]))
+    assert next(batches) == 1 and not released
+    assert list(batches) == [2] and released == [1]
+
+
+def test_lean_tasks_give_the_system_its_memory_back():
+    """What a task frees between what it keeps does not stay with the waiting worker."""
+    def held():
+        return int(next(x for x in open("/proc/self/smaps_rollup") if x.startswith("Rss")).split()[1]) >> 10
+
+    def scan(batches):
+        kept = [bytes(40_000) for _ in range(4000)]
+        yield from batches
+        some.extend(kept[::1000])
+
+    some = []
+    before = held()
+    assert list(memory.lean(scan)(iter([1]))) == [1] and held() - before < 60  # of 160 MB

@@ -39,6 +39,7 @@ from pyspark.sql import Window
 from tidemark.llm.columns import fresh, text_of
 from tidemark.llm.count_tree import likely_pairs, needed, overlap_bound, packed, unpacked
 from tidemark.llm.graph import components
+from tidemark.llm.memory import lean
 from tidemark.session import checkpoint_root, remove, scratch_path
 
 #: Words of a shingle and the similarity of a link in percent.
@@ -115,7 +116,7 @@ def frequent_hashes(rows: DataFrame, sample: int = SAMPLE, most: int = FREQUENT)
             often = {h: c for h, c in seen.items() if c > 1}
             yield pa.RecordBatch.from_arrays([pa.array(often.keys(), pa.int64()), pa.array(often.values(), pa.int64())], names=["h", "c"])
 
-    some = rows.filter(F.pmod(F.col("row_key"), F.lit(sample)) == 0).select("text").mapInArrow(count, "h bigint, c bigint")
+    some = rows.filter(F.pmod(F.col("row_key"), F.lit(sample)) == 0).select("text").mapInArrow(lean(count), "h bigint, c bigint")
     often = some.groupBy("h").agg(F.sum("c").alias("c")).filter("c >= 4").orderBy(F.desc("c"), "h").limit(most)
     return np.sort(np.array([r.h for r in often.collect()], np.int64).view(np.uint64))
 
@@ -138,7 +139,7 @@ def _points(rows: DataFrame, shared, percent: int) -> DataFrame:
                 ], names=["id", "row_key", "node", "n", "vector", "often", "n_often"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "row_key", "text").mapInArrow(scan, f"id {id_type}, row_key bigint, node bigint, n bigint, vector binary, often array<bigint>, n_often int")
+    return rows.select("id", "row_key", "text").mapInArrow(lean(scan), f"id {id_type}, row_key bigint, node bigint, n bigint, vector binary, often array<bigint>, n_often int")
 
 
 def _rare_postings(rows: DataFrame, shared, percent: int) -> DataFrame:
@@ -158,7 +159,7 @@ def _rare_postings(rows: DataFrame, shared, percent: int) -> DataFrame:
                 if hashes:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.concatenate(nodes))], names=["h", "node"])
 
-    return rows.select("text").mapInArrow(scan, "h bigint, node bigint")
+    return rows.select("text").mapInArrow(lean(scan), "h bigint, node bigint")
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -173,7 +174,7 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
     fits = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return with_b.filter(fits).select("a", "b", "n_a", "n_b", "v_a", "v_b").mapInArrow(check, "a bigint, b bigint")
+    return with_b.filter(fits).select("a", "b", "n_a", "n_b", "v_a", "v_b").mapInArrow(lean(check), "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -206,7 +207,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, percent: int)
                         b.append(hub)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return dealt.mapInArrow(verify, "a bigint, b bigint").distinct().checkpoint()
+    return dealt.mapInArrow(lean(verify), "a bigint, b bigint").distinct().checkpoint()
 
 
 def _after(point: np.ndarray, h: int, n_often: int, frequent: bool) -> np.ndarray:
@@ -280,7 +281,7 @@ def _tree_pairs(cells: DataFrame, nodes: DataFrame, shared, percent: int) -> Dat
             found.update(work(piece))
         yield batch()
 
-    return dealt.mapInArrow(search, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(lean(search), "a bigint, b bigint").distinct()
 
 
 def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, sample: int) -> DataFrame:
