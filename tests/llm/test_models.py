@@ -289,6 +289,16 @@ def test_words_are_whole_subword_sequences(spark):
         assert list(lm._sequence(reader.ids(numbers))) == [*corpus.own[ids], 0]
 
 
+def test_a_worker_holds_one_encoder():
+    """That of the counts goes when the texts are encoded."""
+    vocabulary = Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    lm._encoder.cache_clear()
+    for _ in range(2):
+        lm._encoder(type("Shared", (), {"value": vocabulary}))
+    assert lm._encoder.cache_info().currsize == 1
+    lm._encoder.cache_clear()
+
+
 def test_lm_without_rows_or_training(spark):
     vocabulary = Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
     assert lm.score_documents(frame(spark, []), vocabulary, F.lit(False)).count() == 0
