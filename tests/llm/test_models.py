@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from conftest import SF001, SF01
 from tidemark.llm import lm, mixing, queries, toxicity
 from tidemark.llm.attention import BACK, LENGTH, STEP, Attention, averaged
-from tidemark.llm.bpe import Vocabulary, byte_alphabet
+from tidemark.llm.bpe import Encoder, Vocabulary, byte_alphabet
+from tidemark.llm.merges import WordMerges
 
 SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
     ("doc_id", T.LongType()), ("text", T.StringType()), ("source", T.StringType()), ("size", T.StringType()), ("row", T.LongType()), ("draw", T.StringType()))])
@@ -289,6 +290,45 @@ def test_words_are_whole_subword_sequences(spark):
         assert list(lm._sequence(reader.ids(numbers))) == [*corpus.own[ids], 0]
 
 
+@pytest.fixture(scope="module")
+def words():
+    """Words of the given documents, random ones, and ones that repeat a letter or hold bytes of all kinds; some very long."""
+    rng = np.random.default_rng(6)
+    made = ["".join(rng.choice(list("aeinrst0_\u00e9\u0436\u6f22\U00010330"), n)) for n in rng.integers(1, 31, 2000)]
+    made += [c * n for c in "a.=1\u00fc" for n in (1, 2, 3, 7, 16, 31, 32, 33, 500)] + ["un" + "believ" * 20 + "ably", ""]
+    return [w.lower().encode() for w in made] + [bytes([b]) for b in range(0x21, 0x7F)]
+
+
+def test_merging_many_words_equals_encoding_each(words):
+    vocabulary = Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    encoder, shared = Encoder(vocabulary), type("Shared", (), {"value": vocabulary})
+    want = [encoder.piece(w.decode()) if w else [] for w in words]
+    for ids, counts in (WordMerges(vocabulary).encode(words), lm._subwords(words, shared)):
+        assert counts.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [k for x in want for k in x]
+    assert [len(x) for x in WordMerges(vocabulary).encode([])] == [len(x) for x in lm._subwords([], shared)] == [0, 0]
+
+
+def test_new_words_of_a_batch_are_encoded_together(spark, words, monkeypatch):
+    """One by one they took most of the time of reading; only long ones still are, and what a word gets is the same."""
+    vocabulary = Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    corpus = lm.count_corpus(spark.createDataFrame([("the the of",)], "text string"), vocabulary)
+    encoder, alone, together = Encoder(vocabulary), [], []
+    piece, encode = Encoder.piece, WordMerges.encode
+    monkeypatch.setattr(Encoder, "piece", lambda self, w: alone.append(w) or piece(self, w))
+    monkeypatch.setattr(WordMerges, "encode", lambda self, some: together.append(len(some)) or encode(self, some))
+    texts = [b" ".join([b"the", *words[a : a + 100], b"of", words[a]]).decode() for a in range(0, len(words), 100)]
+    reader = lm.Reader(type("Shared", (), {"value": corpus}))
+    read = reader.read_all(texts)
+    assert alone and all(len(w.encode()) > lm.SHORT for w in alone) and len(together) == 1
+    for text, (split, numbers) in zip(texts, read):
+        ids = [piece(encoder, w.decode()) for w in split]
+        assert split == lm.words_of(text) and list(lm._sequence(reader.ids(numbers))) == [*corpus.own[[k for x in ids for k in x]], 0]
+        assert reader.sizes[numbers].tolist() == [len(x) for x in ids]
+        assert reader.rare[numbers] == pytest.approx([corpus.rare[x].sum() for x in ids])
+    assert reader.read_all(texts) == read and len(together) == 1
+
+
 def test_a_worker_holds_one_encoder():
     """That of the counts goes when the texts are encoded."""
     vocabulary = Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
