@@ -102,6 +102,35 @@ def test_what_is_taken_is_the_sum_of_the_curriculums_steps(spark):
     assert f"{mixing.demanded(1 / mixing.STEPS, mixing.SCHEDULES[0])}"[:8] in plan
 
 
+def test_the_query_places_every_copy_in_the_training(spark, monkeypatch):
+    """What ``op2_mix`` returns is read from the sequence of copies, so no part of their placing may be left out."""
+    def never(part, schedule):
+        return F.raise_error(F.lit("a moment was asked for")).cast("double")
+
+    with monkeypatch.context() as m:
+        m.setattr(mixing, "moment", never)
+        with pytest.raises(Exception, match="a moment was asked for"):
+            queries.op2_mix(spark, SF001).collect()
+    sequences = []
+    with monkeypatch.context() as m:
+        m.setattr(mixing, "training_sequence", lambda plan, made=mixing.training_sequence: sequences.append(made(plan)) or sequences[-1])
+        got = queries.op2_mix(spark, SF001).collect()
+    assert len(sequences) == 1 and sum(r.taken for r in sequences[0].collect()) == sum(r.taken for r in got) > 0
+
+
+def test_the_sequence_is_the_training_order(spark):
+    """Each copy begins where the words of the copies before it end; rows without copies stay in the mix."""
+    got = mixing.mix(frame(spark, MIXED).repartition(3)).collect()
+    copies = sorted((c.position, r.key, c["pass"], c.since, c.taken) for r in got for c in r.copies)
+    whole = 0
+    for k, (*_, since, taken) in enumerate(copies):
+        if copies[k][:3] != copies[k - 1][:3]:  # equal rows stand side by side, either one first
+            assert since == whole
+        whole += taken
+    assert whole == sum(r.taken for r in got) and sorted(c[3] for c in copies)[-1] < whole
+    assert any(not r.copies and r.taken == 0 for r in got) and len(got) == len(MIXED)
+
+
 @pytest.mark.parametrize("schedule", mixing.SCHEDULES)
 def test_moments_invert_the_integral(spark, schedule):
     def integral(t, steps=20_000):
